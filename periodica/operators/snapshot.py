@@ -139,7 +139,7 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
     if cfg.tombstones:
         differs = differs | F.coalesce(F.col(f"_old.{n.is_deleted}") == "True", F.lit(False))
 
-    def row(origin: str, **overrides: Column) -> Column:
+    def row(origin: str, overrides: dict[str, Column]) -> Column:
         return F.struct(
             *[
                 overrides.get(f.name, F.col(f"{origin}.{f.name}")).cast(f.dataType).alias(f.name)
@@ -147,58 +147,45 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
             ]
         )
 
-    absent = [f.name for f in layout if f.name not in fresh.columns]
-    opened = row(
-        "_new",
-        **{name: F.lit(None) for name in absent},
-        **{
-            n.valid_from: F.col(f"_new.{n.updated_at}"),
-            n.valid_to: _open_value(cfg),
-            n.is_deleted: F.lit("False"),
-        },
-    )
-    kept = row("_old")
-    superseded = row("_old", **{n.valid_to: F.col(f"_new.{n.updated_at}")})
-    ended = row("_old", **{n.valid_to: moment})
-
-    vanished = F.array(kept)
-    if cfg.hard_deletes == "invalidate":
-        vanished = F.array(ended)
-    elif cfg.tombstones:
-        tombstone = row(
-            "_old",
-            **{
-                n.valid_from: moment,
-                n.updated_at: moment,
-                n.scd_id: version_hash(F.col(f"_old.{n.scd_id}"), canonical_time(moment)),
-                n.is_deleted: F.lit("True"),
-            },
-        )
-        vanished = F.when(F.col(f"_old.{n.is_deleted}") == "True", F.array(kept)).otherwise(
-            F.array(ended, tombstone)
+    start = {n.valid_from: F.col(f"_new.{n.updated_at}"), n.valid_to: _open_value(cfg), n.is_deleted: F.lit("False")}
+    absent = {f.name: F.lit(None) for f in layout if f.name not in fresh.columns}
+    opened = F.array(row("_new", {**absent, **start}))
+    kept = F.array(row("_old", {}))
+    superseded = F.array(row("_old", {n.valid_to: F.col(f"_new.{n.updated_at}")}))
+
+    vanished = kept
+    if cfg.hard_deletes != "ignore":
+        vanished = F.array(row("_old", {n.valid_to: moment}))
+    if cfg.tombstones:
+        flagged = {
+            n.valid_from: moment,
+            n.updated_at: moment,
+            n.scd_id: version_hash(F.col(f"_old.{n.scd_id}"), canonical_time(moment)),
+            n.is_deleted: F.lit("True"),
+        }
+        vanished = F.when(F.col(f"_old.{n.is_deleted}") == "True", kept).otherwise(
+            F.concat(vanished, F.array(row("_old", flagged)))
         )
 
-    settled = F.when(new.isNull(), vanished).when(both & ~differs, F.array(kept)).otherwise(
-        F.array(superseded)
-    )
-    remaining = pairs.where(old.isNotNull()).select(F.inline(settled))
-    starts = pairs.where(old.isNull() | (new.isNotNull() & differs)).select(
-        F.inline(F.array(opened))
-    )
+    is_new = old.isNull()
+    is_changed = both & differs
     if cfg.hard_deletes == "ignore":
-        # Every changed key opens a newer version and no key is ever left without an open row, so a
-        # version id cannot occur twice; one explode serves both parts.
-        outcome = F.when(old.isNull(), F.array(opened)).when(
-            new.isNotNull() & differs, F.array(superseded, opened)
-        ).otherwise(F.array(kept))
+        # No key is ever left without an open row, so a version id cannot come back and one pass
+        # over the pairs gives everything.
+        outcome = (
+            F.when(is_new, opened)
+            .when(new.isNull(), vanished)
+            .when(is_changed, F.concat(superseded, opened))
+            .otherwise(kept)
+        )
         return closed.unionByName(pairs.select(F.inline(outcome)))
-    # A key that comes back unchanged repeats the id of its closed version, which stays closed.
-    known = closed.select(n.scd_id)
-    return closed.unionByName(remaining).unionByName(starts.join(known, n.scd_id, "left_anti").select(held_order(layout)))
-
-
-def held_order(layout: T.StructType) -> list[Column]:
-    return [F.col(f.name) for f in layout]
+    settled = F.when(new.isNull(), vanished).when(is_changed, superseded).otherwise(kept)
+    remaining = pairs.where(old.isNotNull()).select(F.inline(settled))
+    starts = pairs.where(is_new | is_changed).select(F.inline(opened))
+    # A key that comes back with its old update time repeats the id of a closed version; that
+    # version stands and no row is added.
+    unseen = starts.join(closed.select(n.scd_id), n.scd_id, "left_anti")
+    return closed.unionByName(remaining).unionByName(unseen)
 
 
 def _pair(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:

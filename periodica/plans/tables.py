@@ -1,7 +1,7 @@
 """Table writers: replace, swap, partition overwrite, seeds, clones, incremental runs.
 
-A table is always built aside in a new folder and then takes over its name in the catalog, so
-readers see the old or the new table, and a target can be read while its successor is written.
+A table is always built aside in a new folder and then takes over its name in the catalog by two
+renames, so a target can be read while its successor is written and a failed build leaves it alone.
 """
 
 from __future__ import annotations
@@ -69,7 +69,8 @@ def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
     that name is dropped first. The renames touch the catalog only.
     """
     spark = df.sparkSession
-    spark.sql(f"DROP VIEW IF EXISTS {name}") if _is_view(spark, name) else None
+    if _is_view(spark, name):
+        spark.sql(f"DROP VIEW {name}")
     build, backup = f"{name}__build", f"{name}__backup"
     path = f"{root}/{name}/{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -83,6 +84,21 @@ def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
     return spark.table(name)
 
 
+def remove_old_builds(spark: SparkSession, name: str, root: str) -> list[str]:
+    """Delete the folders of a table's earlier builds, once nothing reads them any more."""
+    held = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    jvm = spark.sparkContext._jvm
+    home = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    files = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = []
+    for status in files.listStatus(home):
+        build = status.getPath()
+        if build.getName() != held.rstrip("/").rsplit("/", 1)[-1]:
+            files.delete(build, True)
+            removed.append(build.getName())
+    return removed
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
 

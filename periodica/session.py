@@ -16,6 +16,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int | None = None)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     if shuffle_partitions:

@@ -57,47 +57,24 @@ def carry_forward(
 ) -> DataFrame:
     """Last non-NULL value of columns up to and including each row, in ``order`` within the keys.
 
-    ``marks`` maps input column to output column; ``order`` is an integer column. Rows are windowed
-    inside blocks of ``block`` order values; what enters a block comes from one summary row per
-    block. No task sees more than a block of rows, however long a group is.
+    ``marks`` maps input column to output column; ``order`` is an integer column and keys are not
+    NULL. Rows are windowed inside blocks of ``block`` order values; what enters a block comes from
+    one summary row per block. No task sees more than a block of rows, however long a group is.
     """
     keys = list(keys)
     numbered = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
-    # A row of this kind has no mark of its own; only marked rows are summarised.
-    has_mark = any_of(*[F.col(m).isNotNull() for m in marks])
-    ends = (
-        numbered.where(has_mark)
-        .groupBy(*keys, "_block")
-        .agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.col(order))).alias(f"_end_{m}") for m in marks])
+    ends = numbered.groupBy(*keys, "_block").agg(
+        *[F.max_by(m, F.when(F.col(m).isNotNull(), F.col(order))).alias(f"_end_{m}") for m in marks]
     )
-    later = Window.partitionBy(*keys).orderBy("_block")
-    reach = ends.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_block").alias("_from"),
-        F.lead("_block").over(later).alias("_next"),
-        *[
-            F.last(f"_end_{m}", ignorenulls=True).over(later).alias(f"_in_{m}")
-            for m in marks
-        ],
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    entering = ends.select(
+        *keys, "_block", *[F.last(f"_end_{m}", ignorenulls=True).over(before).alias(f"_in_{m}") for m in marks]
     )
-    # State after block b enters every block from b + 1 up to and including the next marked one.
-    blocks = numbered.groupBy(*keys).agg(F.max("_block").alias("_last")).select(
-        *[F.col(k).alias(f"_l_{k}") for k in keys], "_last"
-    )
-    same_key = [F.col(f"_k_{k}").eqNullSafe(F.col(f"_l_{k}")) for k in keys]
-    entering = (
-        reach.join(blocks, same_key, "inner")
-        .withColumn("_stop", F.coalesce("_next", "_last"))
-        .where("_stop > _from")
-        .withColumn("_to", F.explode(F.sequence(F.col("_from") + 1, F.col("_stop"))))
-        .select(*[f"_k_{k}" for k in keys], "_to", *[f"_in_{m}" for m in marks])
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_block") == F.col("_to")]
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     seen = numbered.withColumns(
         {out: F.last(m, ignorenulls=True).over(inside) for m, out in marks.items()}
     )
-    joined = seen.join(entering, on, "left")
+    joined = seen.join(entering, [*keys, "_block"], "left")
     return joined.select(
         *[c for c in df.columns if c not in marks.values()],
         *[F.coalesce(F.col(out), F.col(f"_in_{m}")).alias(out) for m, out in marks.items()],
