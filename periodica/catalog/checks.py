@@ -9,6 +9,7 @@ from periodica.catalog.bindings import DEDUPED, TARGET_END, orders_source, order
 from periodica.catalog.registry import query
 from periodica.operators import checks
 from periodica.plans import models
+from periodica.plans.tables import replace_folder
 from periodica.session import table, work_dir
 
 
@@ -203,10 +204,11 @@ points AS (SELECT manufacturer, region, frequency, last_day(strptime(month, '%b-
     ),
 )
 def check_suite(spark, folder):
-    """The declared checks of all three models, one verdict row each."""
-    staged = models.stage(raw_facts(spark, folder))
-    deduped = models.deduplicate(staged)
-    mart = models.metrics_mart(deduped)
+    """The declared checks of all three models, one verdict row each, on the models' tables."""
+    root = work_dir(spark, "suite")
+    staged = replace_folder(models.stage(raw_facts(spark, folder)), f"{root}/staged")
+    deduped = replace_folder(models.deduplicate(staged), f"{root}/deduped")
+    mart = replace_folder(models.metrics_mart(deduped), f"{root}/mart")
     parts = [
         checks.run_suite(rows, name, checks.declared_suite(declared))
         for rows, name, declared in [

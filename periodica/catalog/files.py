@@ -10,6 +10,7 @@ from periodica.catalog.bindings import LOADED_AT, MONTHLY_SPENT, RAW_FACTS, mone
 from periodica.catalog.registry import query
 from periodica.functions.scalars import month_end
 from periodica.operators.schema import conform
+from periodica.plans.tables import replace_folder
 from periodica.session import table, work_dir
 from periodica.sources import files
 from periodica.sources.release_lines import explode_records, is_noise, parse_lines
@@ -184,7 +185,7 @@ def report_name() -> F.Column:
 
 
 def report_lines(spark, folder) -> DataFrame:
-    """The reports as text lines, with every kind of line a parser has to step over."""
+    """The reports as stored text lines, with every kind of line a parser has to step over."""
     amounts = monthly_amounts(spark, folder).withColumn("doc", report_name())
     section = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     amounts = amounts.withColumn("base", section * 100)
@@ -228,7 +229,7 @@ def report_lines(spark, folder) -> DataFrame:
         *[F.struct((F.col("base") + F.lit(n)).alias("line_no"), text.alias("line")) for n, text in furniture]
     )
     frame = amounts.select("doc", "m", "base").distinct().select("doc", "m", F.inline(lines))
-    return data.unionByName(frame)
+    return replace_folder(data.unionByName(frame), f"{work_dir(spark, 'lines')}/reports")
 
 
 def parsed(lines: DataFrame) -> DataFrame:

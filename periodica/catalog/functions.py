@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -272,7 +273,7 @@ def spread_handler() -> type:
             self.state = None
 
         def accumulate(self, values):
-            known = values.dropna()
+            known = values[~np.isnan(values)]
             if len(known):
                 self.merge((float(known.min()), float(known.max())))
 
@@ -317,13 +318,21 @@ based AS (
 def grouped_apply_query(spark, folder):
     """Yearly growth by a pandas function per series; a series has one row per calendar month."""
     tagged = customer_series(spark, folder).join(customer_frequency(spark, folder), "custkey")
+    # Dates would become Python objects in pandas, day numbers stay a vector.
+    numbered = tagged.withColumn("day", F.unix_date("month_end")).drop("month_end")
 
     def yearly(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("month_end")
-        base = group["units"].shift(12 if group["frequency"].iloc[0] == "M" else 4)
-        group["yoy"] = group["units"] / base.where(base != 0) - 1
-        return group[["custkey", "month_end", "frequency", "yoy"]]
-
-    return grouped_apply(
-        tagged, ["custkey", "frequency"], yearly, "custkey bigint, month_end date, frequency string, yoy double"
+        order = np.argsort(group["day"].to_numpy())
+        units = group["units"].to_numpy()[order]
+        lag = 12 if group["frequency"].iloc[0] == "M" else 4
+        growth = np.full(len(units), np.nan)
+        base = units[:-lag]
+        np.divide(units[lag:], base, out=growth[lag:], where=base != 0)
+        return group.take(order).assign(yoy=growth - 1)[["custkey", "day", "frequency", "yoy"]]
+
+    grown = grouped_apply(
+        numbered, ["custkey", "frequency"], yearly, "custkey bigint, day int, frequency string, yoy double"
+    )
+    return grown.select(
+        "custkey", F.date_from_unix_date("day").alias("month_end"), "frequency", F.nanvl("yoy", F.lit(None)).alias("yoy")
     )

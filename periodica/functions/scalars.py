@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodica.fixed_values import SURROGATE_KEY_NULL
@@ -17,6 +18,21 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, which is computed once per row however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def compute_once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """The kept columns beside new ones that later filters do not compute again.
+
+    A filter on a plain computed column is pushed below it with the expression copied in. It stays
+    above a generator, so costly text work goes through a one-row ``inline``.
+    """
+    entry = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(entry)))
+
+
 # --- text -------------------------------------------------------------------------------------
 
 
@@ -144,8 +160,23 @@ def add_interval(part: str, amount: Column | int, value: Column | str) -> Column
     return F.timestamp_add(part, count, _col(value).cast("timestamp_ntz"))
 
 
+def _period_number(part: str, day: Column) -> Column:
+    """Consecutive number of the period holding a date."""
+    if part == "year":
+        return F.year(day)
+    if part == "quarter":
+        return F.year(day) * 4 + F.quarter(day)
+    if part == "month":
+        return F.year(day) * 12 + F.month(day)
+    # Day 0 is a Thursday; three days on, weeks of seven days start on Mondays.
+    return F.unix_date(day) if part == "day" else F.floor((F.unix_date(day) + 3) / 7)
+
+
 def boundaries_between(part: str, start: Column | str, end: Column | str) -> Column:
     """Number of period boundaries crossed (31 Jan to 1 Feb is one month), not whole periods."""
+    if part in DATE_PARTS:
+        first, last = [_period_number(part, _col(c).cast("date")) for c in (start, end)]
+        return (last - first).cast("bigint")
     return F.timestamp_diff(part, trunc_to(part, start), trunc_to(part, end))
 
 

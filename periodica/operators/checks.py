@@ -42,24 +42,24 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 def aggregated_unique(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
     """Repeated values of many columns in one pass: one grouping set per column.
 
-    Values are cast to text first so that all columns share one output column.
+    Values are counted in their own types; only repeated ones are cast to the shared text column.
     """
     names = [c for c in columns if c not in skip]
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, unique_field string, n_records bigint")
-    texts = df.where(any_of(*[F.col(c).isNotNull() for c in names])).select(
-        *[F.col(c).cast("string").alias(c) for c in names]
-    )
+    filled = df.where(any_of(*[F.col(c).isNotNull() for c in names])).select(*names)
     label = reduce(
         lambda rest, c: F.when(F.grouping(c) == 0, F.lit(c)).otherwise(rest),
         reversed(names),
         F.lit(None).cast("string"),
     )
-    counted = texts.groupingSets([[c] for c in names], *names).agg(
+    counted = filled.groupingSets([[c] for c in names], *names).agg(
         label.alias("column_name"), F.count(F.lit(1)).alias("n_records")
     )
-    found = counted.select("column_name", F.coalesce(*names).alias("unique_field"), "n_records")
-    return found.where((F.col("n_records") > 1) & F.col("unique_field").isNotNull())
+    repeated = counted.where(F.col("n_records") > 1).select(
+        "column_name", F.coalesce(*[F.col(c).cast("string") for c in names]).alias("unique_field"), "n_records"
+    )
+    return repeated.where(F.col("unique_field").isNotNull())
 
 
 def aggregated_not_null(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:

@@ -18,6 +18,8 @@ def build_session(cores: int | str = "*", shuffle_partitions: int | None = None)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Call sites of column expressions are only used in error texts and slow plan building down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.fixed_values import MONTH_NAMES
-from periodica.functions.scalars import add_interval, parse_number
+from periodica.functions.scalars import add_interval, let, parse_number
 from periodica.operators.schema import find
 
 RELEASE_SCHEMA = T.StructType(
@@ -88,12 +88,17 @@ def period_from_name(name: Column | str, strict: bool = False) -> Column:
     """
     name = F.col(name) if isinstance(name, str) else name
     bare = F.regexp_replace(F.replace(name, F.lit("_"), F.lit(" ")), r"\.[^.]*$", "")
-    lowered = F.lower(bare)
-    month = F.coalesce(
-        *[F.when(F.contains(lowered, F.lit(m)), F.lit(i)) for i, m in enumerate(MONTH_NAMES, start=1)]
-    )
-    year = F.regexp_extract(bare, r"(?:^|\s)(\d{4})(?=\s|$)", 1).try_cast("int")
-    period = F.make_date(year, month, F.lit(1))
+
+    def month_of(lowered: Column) -> Column:
+        return F.coalesce(
+            *[F.when(F.contains(lowered, F.lit(m)), F.lit(i)) for i, m in enumerate(MONTH_NAMES, start=1)]
+        )
+
+    def period_of(text: Column) -> Column:
+        year = F.regexp_extract(text, r"(?:^|\s)(\d{4})(?=\s|$)", 1).try_cast("int")
+        return F.make_date(year, let(F.lower(text), month_of), F.lit(1))
+
+    period = let(bare, period_of)
     if strict:
         message = F.concat(F.lit("no month and year in file name: "), name)
         return F.when(period.isNull(), F.raise_error(message).cast("date")).otherwise(period)

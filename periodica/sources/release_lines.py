@@ -26,25 +26,34 @@ from periodica.fixed_values import (
     SECTION_HEADER,
     YEAR_HEADER,
 )
-from periodica.functions.scalars import any_of, clean_label, strip_space
+from periodica.functions.scalars import clean_label, compute_once, let, strip_space
 from periodica.sources.files import period_label, year_before
 
 BLOCK_LINES = 10_000
 
 
+def _alternatives(texts: Sequence[str]) -> str:
+    return "|".join(rf"\Q{t}\E" for t in texts)
+
+
+NOISE_PATTERN = (
+    rf"(?Us)^\s*\Q{FOOTER_PREFIX}\E"
+    r"|^(?=.*page)(?=.*of)"
+    rf"|^\s*[1-9] (?=.*(?:{_alternatives(FOOTNOTE_WORDS)}))"
+)
+COLUMN_HEADER_PATTERN = (
+    rf"^(?:{_alternatives([*HEADER_PREFIXES, *[m.upper() for m in MONTH_NAMES]])})"
+    rf"|^(?:{_alternatives(HEADER_LINES)})$"
+)
+
+
 def is_noise(line: Column) -> Column:
     """Footers, page marks and footnotes; blank lines are not noise."""
-    text = strip_space(line)
-    lowered = F.lower(text)
-    footer = F.startswith(lowered, F.lit(FOOTER_PREFIX))
-    page_mark = F.contains(lowered, F.lit("page")) & F.contains(lowered, F.lit("of"))
-    footnote = text.rlike("^[1-9] ") & any_of(*[F.contains(lowered, F.lit(w)) for w in FOOTNOTE_WORDS])
-    return F.coalesce((text != "") & (footer | page_mark | footnote), F.lit(False))
+    return F.lower(line).rlike(NOISE_PATTERN)
 
 
-def region_mark(line: Column) -> Column:
-    """Region a header line opens, NULL on other lines; the widest label is tested first."""
-    upper = F.upper(line)
+def region_mark(upper: Column) -> Column:
+    """Region an upper-cased header line opens, else NULL; the widest label is tested first."""
     return (
         F.when(F.contains(upper, F.lit(REGION_ALL)), F.lit(REGION_ALL))
         .when(F.contains(upper, F.lit("EUROPEAN UNION")), F.lit(REGION_EU))
@@ -53,17 +62,24 @@ def region_mark(line: Column) -> Column:
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: str, marks: Mapping[str, str], block: int = BLOCK_LINES
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    marks: Mapping[str, str],
+    block: int = BLOCK_LINES,
+    marked: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-NULL value of columns up to and including each row, in ``order`` within the keys.
 
     ``marks`` maps input column to output column; ``order`` is an integer column and keys are not
     NULL. Rows are windowed inside blocks of ``block`` order values; what enters a block comes from
     one summary row per block. No task sees more than a block of rows, however long a group is.
+    ``marked`` is a cheaper frame with at least the rows of ``df`` to take the summary from.
     """
     keys = list(keys)
     numbered = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
-    ends = numbered.groupBy(*keys, "_block").agg(
+    summarised = (df if marked is None else marked).withColumn("_block", F.floor(F.col(order) / F.lit(block)))
+    ends = summarised.groupBy(*keys, "_block").agg(
         *[F.max_by(m, F.when(F.col(m).isNotNull(), F.col(order))).alias(f"_end_{m}") for m in marks]
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,46 +111,53 @@ def parse_lines(
     ``period`` is a date column with the release's month. Output carries the document and the
     contract's six columns, units as printed.
     """
-    text = strip_space(F.col(line))
-    kept = lines.select(document, order, period, text.alias("_line")).where(
-        (F.col("_line") != "") & ~is_noise(F.col("_line"))
+    stripped = compute_once(
+        lines.where(F.col(line).isNotNull()),
+        [document, order, period],
+        _line=strip_space(F.col(line)),
+        _noise=is_noise(F.col(line)),
     )
-    upper = F.upper("_line")
-    region = region_mark(F.col("_line"))
-    marked = kept.withColumn("_region_mark", region).withColumn(
-        "_table_mark",
-        F.when(F.col("_region_mark").isNull() & F.contains(upper, F.lit(SECTION_HEADER)), F.lit(True)),
-    )
-    placed = carry_forward(
-        marked, [document], order, {"_region_mark": "_region", "_table_mark": "_in_table"}, block
+    plain = compute_once(
+        stripped.where((F.col("_line") != "") & ~F.col("_noise")), [document, order, period, "_line"], _upper=F.upper("_line")
     )
-
+    pattern = F.lit(NUMBER_PATTERN)
     header_year = F.lit(year_header) if isinstance(year_header, str) else year_header
-    column_header = any_of(
-        *[F.startswith(upper, F.lit(p)) for p in HEADER_PREFIXES],
-        F.startswith(upper, header_year),
-        *[F.startswith(upper, F.lit(m.upper())) for m in MONTH_NAMES],
-        upper.isin(HEADER_LINES),
-    )
-    body = placed.where(
-        F.col("_in_table") & F.col("_region_mark").isNull() & F.col("_table_mark").isNull() & ~column_header
+    column_header = F.col("_upper").rlike(COLUMN_HEADER_PATTERN) | F.startswith("_upper", header_year)
+    region = region_mark(F.col("_upper"))
+    is_table = F.contains("_upper", F.lit(SECTION_HEADER))
+    kinds = compute_once(
+        plain,
+        [document, order, period, "_line"],
+        _region_mark=region,
+        _table_mark=F.when(region.isNull() & is_table, F.lit(True)),
+        _at=F.when(region.isNull() & ~is_table & ~column_header, F.regexp_instr("_line", pattern)),
     )
+    is_mark = F.col("_region_mark").isNotNull() | F.col("_table_mark").isNotNull()
+    kinds = kinds.where(is_mark | (F.col("_at") > 1))
 
-    pattern = F.lit(NUMBER_PATTERN)
-    found = body.withColumn("_at", F.regexp_instr("_line", pattern)).where("_at > 1")
-    first_number = F.regexp_substr("_line", pattern)
     # A number glued to a letter is a footnote mark: neither part of the name nor a figure.
     glued = F.substr("_line", F.col("_at") - 1, F.lit(1)).rlike(r"^\p{L}$")
+    first_number = F.regexp_substr("_line", pattern)
     start = F.when(glued, F.col("_at") + F.length(first_number)).otherwise(F.col("_at"))
-    split = found.select(
-        document,
-        period,
-        "_region",
-        strip_space(F.substr("_line", F.lit(1), F.col("_at") - 1)).alias("_name"),
-        F.regexp_extract_all(F.substr("_line", start), pattern, F.lit(0)).alias("_numbers"),
-    ).where((F.col("_name") != "") & (F.size("_numbers") >= MIN_NUMBERS))
-    named = split.withColumn("_name", clean_label("_name")).where(F.col("_name") != REMAINDER_LABEL)
-    return explode_records(named, document, period)
+    name = strip_space(F.substr("_line", F.lit(1), F.col("_at") - 1))
+    state = [document, order, period, "_region_mark", "_table_mark"]
+    fields = compute_once(
+        kinds,
+        state,
+        _name=F.when(F.col("_at") > 1, let(name, lambda n: F.when(n != "", clean_label(n)))),
+        _numbers=F.when(F.col("_at") > 1, F.regexp_extract_all(F.substr("_line", start), pattern, F.lit(0))),
+    )
+    is_data = (F.size("_numbers") >= MIN_NUMBERS) & (F.col("_name") != REMAINDER_LABEL)
+    # Everything that depends on one line alone is done; only marks and data lines are moved.
+    placed = carry_forward(
+        fields.where(is_mark | is_data),
+        [document],
+        order,
+        {"_region_mark": "_region", "_table_mark": "_in_table"},
+        block,
+        marked=kinds.select(*state),
+    )
+    return explode_records(placed.where(F.col("_in_table") & F.col("_name").isNotNull()), document, period)
 
 
 def explode_records(named: DataFrame, document: str, period: str) -> DataFrame:
