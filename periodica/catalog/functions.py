@@ -322,16 +322,18 @@ def grouped_apply_query(spark, folder):
     numbered = tagged.withColumn("day", F.unix_date("month_end")).drop("month_end")
 
     def yearly(group: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(group["day"].to_numpy())
-        units = group["units"].to_numpy()[order]
+        day, units = group["day"].to_numpy(), group["units"].to_numpy()
+        order = np.argsort(day)
+        units = units[order]
         lag = 12 if group["frequency"].iloc[0] == "M" else 4
         growth = np.full(len(units), np.nan)
         base = units[:-lag]
         np.divide(units[lag:], base, out=growth[lag:], where=base != 0)
-        return group.take(order).assign(yoy=growth - 1)[["custkey", "day", "frequency", "yoy"]]
+        columns = {"custkey": group["custkey"].to_numpy(), "frequency": group["frequency"].to_numpy()}
+        return pd.DataFrame({**columns, "day": day[order], "yoy": growth - 1})
 
     grown = grouped_apply(
-        numbered, ["custkey", "frequency"], yearly, "custkey bigint, day int, frequency string, yoy double"
+        numbered, ["custkey", "frequency"], yearly, "custkey bigint, frequency string, day int, yoy double"
     )
     return grown.select(
         "custkey", F.date_from_unix_date("day").alias("month_end"), "frequency", F.nanvl("yoy", F.lit(None)).alias("yoy")

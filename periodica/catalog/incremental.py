@@ -177,6 +177,7 @@ def incremental_lifecycle(spark, folder):
     """A view holds the name at first; run 1 builds the table, run 2 merges into it."""
     root = work_dir(spark, "lifecycle")
     name = "orders_" + root.rsplit("-", 1)[-1]
+    orders_target(spark, folder).createOrReplaceTempView(name)
 
     def model(existing):
         return orders_target(spark, folder) if existing is None else orders_source(spark, folder)

@@ -111,23 +111,46 @@ def python_aggregate(
         if held:
             yield emit(held, salt)
 
-    def combine(states: pd.Series) -> Any:
-        total = handler()
-        for state in states:
-            total.merge(pickle.loads(state))
-        return total
+    def merge_runs(group: Sequence[str], last: bool) -> Callable:
+        """States of one group lie next to each other; a group is held as one merged state."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            current, total = None, None
+
+            def result() -> tuple:
+                return (*current, total.finish() if last else pickle.dumps(total.state))
+
+            for batch in batches:
+                rows = []
+                names = batch[list(group)].astype(object).itertuples(index=False, name=None)
+                for name, state in zip(names, batch["_state"]):
+                    name = tuple(None if pd.isna(n) else n for n in name)
+                    if total is None or name != current:
+                        if total is not None:
+                            rows.append(result())
+                        current, total = name, handler()
+                    total.merge(pickle.loads(state))
+                if rows:
+                    yield pd.DataFrame(rows, columns=[*group, output if last else "_state"])
+            if total is not None:
+                yield pd.DataFrame([result()], columns=[*group, output if last else "_state"])
+
+        return run
+
+    final_schema = T.StructType([*key_fields, T.StructField(output, returns)])
+    partial = df.select(*keys, *inputs).mapInPandas(fold, state_schema)
+    salted = _runs(partial, [*keys, "_salt"]).mapInPandas(merge_runs([*keys, "_salt"], False), state_schema)
+    return _runs(salted, keys).mapInPandas(merge_runs(keys, True), final_schema)
 
-    @F.pandas_udf("binary")
-    def merge_states(states: pd.Series) -> bytes:
-        return pickle.dumps(combine(states).state)
 
-    @F.pandas_udf(returns)
-    def finish_states(states: pd.Series) -> Any:
-        return combine(states).finish()
+def _runs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of one key together and in a row.
 
-    partial = df.select(*keys, *inputs).mapInPandas(fold, state_schema)
-    salted = partial.groupBy(*keys, "_salt").agg(merge_states("_state").alias("_state"))
-    return salted.groupBy(*keys).agg(finish_states("_state").alias(output))
+    Python work is not visible in the row sizes that adaptive coalescing goes by; a set number of
+    partitions keeps it spread over all cores.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys).sortWithinPartitions(*keys)
 
 
 def grouped_apply(
@@ -147,10 +170,11 @@ def grouped_apply(
         for batch in batches:
             codes = batch.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
             starts = np.flatnonzero(np.diff(codes, prepend=-1))
-            groups = [batch.iloc[a:b] for a, b in zip(starts, [*starts[1:], len(batch)])]
+            names = batch[keys].iloc[starts].astype(object).itertuples(index=False, name=None)
             results = []
-            for group in groups:
-                key = tuple(None if pd.isna(k) else k for k in group[keys].iloc[0])
+            for name, first, stop in zip(names, starts, [*starts[1:], len(batch)]):
+                key = tuple(None if pd.isna(k) else k for k in name)
+                group = batch.iloc[first:stop]
                 if waiting and key != open_key:
                     results.append(fn(_joined(waiting)))
                     waiting = []
@@ -164,7 +188,4 @@ def grouped_apply(
     def _joined(parts: list[pd.DataFrame]) -> pd.DataFrame:
         return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
 
-    # Python work is not visible in the row sizes that adaptive coalescing goes by; a set number of
-    # partitions keeps it spread over all cores.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+    return _runs(df, keys).mapInPandas(run, schema)

@@ -100,7 +100,7 @@ def remove_old_builds(spark: SparkSession, name: str, root: str) -> list[str]:
 
 
 def _is_view(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
 
 
 def write_seed(df: DataFrame, name: str, root: str, full_refresh: bool = False) -> DataFrame:

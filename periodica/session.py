@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="periodica-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """New folder for one run's written tables, on the storage all executors share.
 
@@ -43,6 +49,5 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="periodica-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/periodica/{label}-{uuid.uuid4().hex}"
