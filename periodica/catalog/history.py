@@ -115,9 +115,9 @@ def scd2_invalidate(spark, folder):
     return _after_day1(spark, folder, _config(hard_deletes="invalidate"))
 
 
-@query("scd2_sentinel", with_sql(DAYS, two_days("TIMESTAMP '9999-12-31'", _stamp(NOW[1]))))
+@query("scd2_sentinel", with_sql(DAYS, two_days("TIMESTAMP '2199-12-31'", _stamp(NOW[1]))))
 def scd2_sentinel(spark, folder):
-    return _after_day1(spark, folder, _config(hard_deletes="invalidate", open_until="9999-12-31 00:00:00"))
+    return _after_day1(spark, folder, _config(hard_deletes="invalidate", open_until="2199-12-31 00:00:00"))
 
 
 def _tombstone(before: str, upd: str, time: str, valid_to: str, where: str) -> str:

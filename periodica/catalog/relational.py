@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from periodica.catalog.bindings import TARGET_SOURCE, money, orders_source, orders_target, with_sql
 from periodica.catalog.registry import query
 from periodica.functions.scalars import equals_null_safe
-from periodica.operators import calendars, dedupe, incremental, schema, snapshot, triage
+from periodica.operators import calendars, dedupe, incremental, joins, schema, snapshot, triage
 from periodica.session import table
 
 # --- projections and schemas ------------------------------------------------------------------
@@ -178,7 +178,7 @@ def semi_join_keys(spark, folder):
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("orderkey"), F.to_date("o_orderdate").alias("day")
     )
-    met = incremental.semi_join_keys(lines, orders, ["orderkey", "day"])
+    met = joins.rows_with(lines, orders, ["orderkey", "day"])
     return met.select(F.col("orderkey").alias("l_orderkey"), "l_partkey", "l_suppkey", "l_quantity")
 
 
@@ -202,10 +202,13 @@ def composite_key_join(spark, folder):
     def counted(rows, name):
         return rows.groupBy("o_custkey", "priority").agg(F.count(F.lit(1)).alias(name))
 
-    bought = counted(orders.where("o_orderstatus <> 'P'"), "n_orders").alias("b")
-    pending = counted(orders.where("o_orderstatus = 'P'"), "n_pending").alias("p")
-    on = [F.col(f"b.{k}").eqNullSafe(F.col(f"p.{k}")) for k in ["o_custkey", "priority"]]
-    return bought.join(pending, on).select("b.o_custkey", "b.priority", "n_orders", "n_pending")
+    bought = counted(orders.where("o_orderstatus <> 'P'"), "n_orders")
+    pending = counted(orders.where("o_orderstatus = 'P'"), "n_pending").withColumnsRenamed(
+        {"o_custkey": "_custkey", "priority": "_priority"}
+    )
+    named = pending.select(F.col("_custkey").alias("o_custkey"), F.col("_priority").alias("priority"), "n_pending")
+    on = joins.key_condition(bought, named, ["o_custkey", "priority"], null_safe=True)
+    return bought.join(named, on).select(bought["o_custkey"], bought["priority"], "n_orders", "n_pending")
 
 
 @query(

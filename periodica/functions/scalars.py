@@ -211,5 +211,10 @@ def any_of(*conditions: Column) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def all_known(columns: list[str]) -> Column:
+    """No column is NULL. (``dropna`` would also take NaN for missing.)"""
+    return all_of(*[F.col(c).isNotNull() for c in columns])
+
+
 def all_of(*conditions: Column) -> Column:
     return reduce(lambda a, b: a & b, conditions)

@@ -29,12 +29,23 @@ def date_spine(df: DataFrame, part: str, start: Column, end: Column, output: str
     return spine.drop("_begin", "_stop")
 
 
-def number_series(df: DataFrame, upper: Column, output: str) -> DataFrame:
-    """For each row the numbers 1..upper; an upper bound below 1 is an error."""
+def number_series(df: DataFrame, upper: Column, output: str, block: int = 1_000_000) -> DataFrame:
+    """For each row the numbers 1..upper; an upper bound below 1 is an error.
+
+    A long series is first cut into blocks, which are spread over all tasks before they are filled.
+    """
     bound = F.when(upper >= 1, upper).otherwise(
         F.raise_error(F.lit("upper bound must be positive")).cast("bigint")
     )
-    return df.withColumn(output, F.explode(F.sequence(F.lit(1).cast("bigint"), bound.cast("bigint"))))
+    bounded = df.withColumn("_upper", bound.cast("bigint"))
+    blocks = bounded.withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_upper") - 1) / F.lit(block))))
+    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, *blocks.columns)
+    first = F.col("_block") * block + 1
+    last = F.least(F.col("_upper"), (F.col("_block") + 1) * block)
+    return spread.withColumn(output, F.explode(F.sequence(first, last))).drop("_upper", "_block")
 
 
 def dates_in_range(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.scalars import any_of
+from periodica.operators.joins import rows_without
 from periodica.operators.schema import find
 
 
@@ -34,9 +35,9 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, once per child row; NULL passes."""
-    have = parent.select(F.col(parent_column).alias("_parent"))
+    have = parent.select(F.col(parent_column).alias("from_field"))
     orphans = child.where(F.col(column).isNotNull()).select(F.col(column).alias("from_field"))
-    return orphans.join(have, F.col("from_field") == F.col("_parent"), "left_anti")
+    return rows_without(orphans, have, ["from_field"])
 
 
 def aggregated_unique(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:

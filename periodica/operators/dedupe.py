@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from periodica.operators.joins import KEY, key_of
+
 
 def latest_first(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
@@ -29,14 +31,14 @@ def attach_latest(
     """All rows, each with its key's latest ``value``.
 
     The latest value comes from an aggregate, which combines inside each task, and is joined back;
-    the adaptive skew join can split a hot key on the row side.
+    the adaptive skew join can split a hot key on the row side. Structs compare NULL parts as equal,
+    so rows with a NULL key form a group as they do in a window.
     """
     newest = df.groupBy(*keys).agg(
         F.max_by(F.struct(value), F.struct(*latest_by))[value].alias(output)
     )
-    renamed = newest.select(*[F.col(k).alias(f"_{k}") for k in keys], output)
-    on = [df[k].eqNullSafe(renamed[f"_{k}"]) for k in keys]
-    return df.join(renamed, on, "inner").select(*df.columns, output)
+    keyed = newest.select(key_of(keys).alias(KEY), output)
+    return df.join(keyed, key_of(keys) == F.col(KEY), "inner").select(*df.columns, output)
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

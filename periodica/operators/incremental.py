@@ -1,9 +1,8 @@
 """Incremental strategies as pure functions: (target, source) -> new target.
 
-Join keys are compared with plain equality, so a NULL key never matches. Target rows with a key the
-source lacks never need to move: a small source is broadcast by the adaptive planner, and key hot
-spots on the target side sit on the streamed side of every join, where a skewed partition can be
-split.
+Join keys are compared with plain equality, so a NULL key never matches. With a small source no
+target row moves; with a large one, target rows sit on the side of each join where a partition
+filled by a hot key can be split (see ``joins``).
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodica.functions.scalars import all_of
+from periodica.functions.scalars import all_known
+from periodica.operators.joins import KEY, key_of, new_rows, rows_without
 from periodica.operators.schema import find, reconcile
 
 
@@ -64,12 +64,14 @@ def merge(
     eligible = predicate if predicate is not None else F.lit(True)
 
     # One row per source key with its number of rows; combined inside each task first.
-    packed = source.dropna(subset=list(keys)).groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
-        F.first(F.struct(*names)).alias("_source"), F.count(F.lit(1)).alias("_copies")
+    packed = (
+        source.where(all_known(keys))
+        .groupBy(*keys)
+        .agg(F.first(F.struct(*names)).alias("_source"), F.count(F.lit(1)).alias("_copies"))
+        .select(key_of(keys).alias(KEY), "_source", "_copies")
     )
     marked = target.withColumn("_eligible", F.coalesce(eligible, F.lit(False)))
-    on = all_of(F.col("_eligible"), *[F.col(k) == F.col(f"_key_{k}") for k in keys])
-    joined = marked.join(packed, on, "left")
+    joined = marked.join(packed, F.col("_eligible") & (key_of(keys) == F.col(KEY)), "left")
     is_match = (
         F.when(F.col("_copies").isNull(), F.lit(False))
         .when(F.col("_copies") == 1, F.lit(True))
@@ -86,30 +88,7 @@ def merge(
         ]
     )
     held = marked.where("_eligible").select(*keys)
-    return updated.unionByName(align(rows_without(source, held, keys), target))
-
-
-def rows_without(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``other``; rows with a NULL key stay.
-
-    ``other`` is first cut to the keys of ``rows``, so that a small ``rows`` side is broadcast
-    against a large ``other`` and the closing anti-join only handles keys that do occur in both.
-    """
-    shared = other.join(rows.select(*keys), list(keys), "left_semi").distinct()
-    unkeyed = rows.where(~all_of(*[F.col(k).isNotNull() for k in keys]))
-    keyed = rows.dropna(subset=list(keys))
-    return keyed.join(shared, list(keys), "left_anti").unionByName(unkeyed)
-
-
-def semi_join_keys(rows: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose (composite) key occurs in ``keyed``; NULL keys never match."""
-    return rows.join(keyed.select(*keys), list(keys), "left_semi")
-
-
-def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Column:
-    """Join condition over a composite key."""
-    pairs = [(left[k], right[k]) for k in keys]
-    return all_of(*[a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    return updated.unionByName(align(new_rows(source, held, keys), target))
 
 
 def delete_insert(
@@ -121,12 +100,7 @@ def delete_insert(
     """
     if not keys:
         return append(target, source)
-    incoming = source.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
-    on = all_of(*[F.col(k) == F.col(f"_key_{k}") for k in keys])
-    if predicate is not None:
-        target = target.withColumn("_eligible", F.coalesce(predicate, F.lit(False)))
-        on = on & F.col("_eligible")
-    kept = target.join(incoming, on, "left_anti").drop("_eligible")
+    kept = rows_without(target, source, keys, predicate)
     return append(kept, source)
 
 

@@ -11,10 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from periodica.functions.scalars import all_known
+
 
 def monthly_mean(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
     """Mean per series and month, dated on the month's last day; rows with a NULL key drop out."""
-    known = df.dropna(subset=[*keys, date])
+    known = df.where(all_known([*keys, date]))
     return known.groupBy(*keys, F.last_day(date).alias(date)).agg(F.avg(value).alias(value))
 
 
@@ -87,11 +89,12 @@ def add_metrics(
 ) -> DataFrame:
     """Year-to-date, trailing-twelve-month and growth columns beside ``value``.
 
-    The series key is the prefix of every window partition, so all of them run on one shuffle.
+    The series key is the prefix of every window partition, so all of them run on one shuffle. The
+    year-to-date total comes first, because it alone wants the rows in another order.
     """
     cuts = [value, "YTD", "TTM"]
-    totals = df.withColumn("TTM", trailing_sum(keys, date, value)).withColumn(
-        "YTD", year_to_date(keys, date, value)
+    totals = df.withColumn("YTD", year_to_date(keys, date, value)).withColumn(
+        "TTM", trailing_sum(keys, date, value)
     )
     change = {f"{c}_PoP": growth(keys, date, c) for c in cuts}
     change |= {f"{c}_YoY": yearly_growth(keys, date, c, frequency) for c in cuts}

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.functions.scalars import all_of, any_of, canonical_time, version_hash
+from periodica.functions.scalars import all_known, all_of, any_of, canonical_time, version_hash
+from periodica.operators.joins import rows_without
 from periodica.operators.schema import find, typed_null
 
 logger = logging.getLogger(__name__)
@@ -202,9 +203,9 @@ def _pair(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFr
         F.struct(*fresh.columns).alias("_new"), *[F.col(k).alias(m) for k, m in zip(keys, new_names)]
     )
     on = all_of(*[F.col(o) == F.col(m) for o, m in zip(old_names, new_names)])
-    met = old_side.dropna(subset=old_names).join(new_side.dropna(subset=new_names), on, "full_outer")
-    lone_old = old_side.where(~all_of(*[F.col(o).isNotNull() for o in old_names]))
-    lone_new = new_side.where(~all_of(*[F.col(m).isNotNull() for m in new_names]))
+    met = old_side.where(all_known(old_names)).join(new_side.where(all_known(new_names)), on, "full_outer")
+    lone_old = old_side.where(~all_known(old_names))
+    lone_new = new_side.where(~all_known(new_names))
     return (
         met.select("_old", "_new")
         .unionByName(lone_old.select("_old"), allowMissingColumns=True)
@@ -214,7 +215,7 @@ def _pair(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFr
 
 def vanished_keys(history: DataFrame, source: DataFrame, cfg: SnapshotConfig) -> DataFrame:
     """Open rows whose key the source no longer has."""
-    return history.where(_is_open(cfg)).join(source.select(*cfg.keys), list(cfg.keys), "left_anti")
+    return rows_without(history.where(_is_open(cfg)), source, cfg.keys)
 
 
 def time_type_warning(source: DataFrame, cfg: SnapshotConfig, now_type: T.DataType | None = None) -> str | None:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from periodica.fixed_values import MONTH_NAMES
 from periodica.functions.scalars import add_interval, let, parse_number
+from periodica.operators.joins import rows_without
 from periodica.operators.schema import find
 
 RELEASE_SCHEMA = T.StructType(
@@ -150,8 +151,7 @@ def load_extract(spark: SparkSession, path: str, schema: T.StructType, entity: s
 
 def with_fallback(primary: DataFrame, secondary: DataFrame, document: str) -> DataFrame:
     """Primary records, and secondary ones for documents the primary source gave none for."""
-    served = primary.select(document).distinct()
-    return primary.unionByName(secondary.join(served, document, "left_anti"))
+    return primary.unionByName(rows_without(secondary, primary, [document]))
 
 
 def column_type(df: DataFrame, name: str) -> T.DataType:

@@ -6,8 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from periodica.operators import checks, incremental
-from periodica.operators.dedupe import keep_latest
+from periodica.operators import checks, incremental, joins
+from periodica.operators.dedupe import attach_latest, keep_latest
 from periodica.operators.series import add_metrics
 from periodica.operators.snapshot import SnapshotConfig, apply, initial
 
@@ -71,6 +71,45 @@ def test_filters_reach_the_scan(orders):
     assert "GreaterThanOrEqual(ts" in plan(orders.where(F.col("ts") >= F.lit("2020-02-01").cast("timestamp_ntz")))
 
 
+@pytest.fixture
+def tight(spark):
+    """Thresholds at which a few thousand rows count as skewed, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4kb",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_keys_are_split(spark, tight, tmp_path):
+    """A third of the rows share one key; every row-side join splits its partition."""
+    path = str(tmp_path / "hot")
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    spark.range(0, 60_000, 1, 12).select(key.alias("k"), "id", F.col("id").cast("string").alias("v")).write.parquet(path)
+    hot = spark.read.parquet(path)
+    source = hot.where("id % 2 = 1").dropDuplicates(["k"])
+    want = hot.count()
+    for result, rows in [
+        (incremental.merge(hot, source, ["k"]), want),
+        (attach_latest(hot, ["k"], ["id"], "v", "latest"), want),
+        (joins.rows_without(hot, source.where("k > 0"), ["k"]), None),
+        (joins.rows_with(hot, source, ["k"]), None),
+        (incremental.delete_insert(hot, source, ["k"]), None),
+    ]:
+        count = len(result.collect())
+        assert rows is None or count == rows
+        assert "skew=true" in plan(result)
+
+
 @pytest.mark.parametrize("pattern", [r"\bbroadcast\(", r"localCheckpoint", r"crossJoin", r"\.toPandas\(", r"\.collect\(\)", r"\.rdd\b"])
 def test_library_avoids(pattern):
     found = [str(p) for p in PACKAGE.rglob("*.py") if re.search(pattern, p.read_text())]

@@ -169,6 +169,8 @@ def test_spine_is_half_open(spark, rows):
 def test_series_and_ranges_reject_bad_bounds(spark):
     one = spark.range(1)
     assert calendars.number_series(one, F.lit(3), "n").count() == 3
+    blocks = calendars.number_series(one, F.lit(25), "n", block=7)
+    assert sorted(r.n for r in blocks.collect()) == list(range(1, 26))
     with pytest.raises(Exception, match="upper bound must be positive"):
         calendars.number_series(one, F.lit(0), "n").collect()
     with pytest.raises(Exception, match="start is after end"):
