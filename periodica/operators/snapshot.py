@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.scalars import all_known, all_of, any_of, canonical_time, version_hash
-from periodica.operators.joins import rows_without
+from periodica.operators.joins import KEY, key_of, rows_with, rows_without, unique_keys
 from periodica.operators.schema import find, typed_null
 
 logger = logging.getLogger(__name__)
@@ -38,7 +38,8 @@ class SnapshotConfig:
     strategy: 'timestamp' compares ``updated_at`` with the open row's start, 'check' compares
     ``check_columns`` (None for all). hard_deletes: 'ignore' keeps rows of vanished keys open,
     'invalidate' closes them, 'new_record' also adds a row flagged as deleted. open_until: value of
-    valid_to in open rows instead of NULL.
+    valid_to in open rows instead of NULL. versions_unique: set it for a history no hard delete has
+    ever closed a key in; no version can come back there, and the look-up of closed ones is spared.
     """
 
     keys: Sequence[str]
@@ -47,6 +48,7 @@ class SnapshotConfig:
     check_columns: Sequence[str] | None = None
     hard_deletes: str = "ignore"
     open_until: str | None = None
+    versions_unique: bool = False
     names: MetaNames = field(default_factory=MetaNames)
 
     def __post_init__(self):
@@ -132,7 +134,7 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
         n.updated_at, _version_time(cfg, now)
     )
 
-    pairs = _pair(open_rows, fresh, cfg.keys)
+    pairs = _pair(open_rows, _mark_seen(fresh, closed, cfg), cfg.keys)
     old, new = F.col("_old"), F.col("_new")
     both = old.isNotNull() & new.isNotNull()
     # A NULL comparison (no update time) counts as unchanged.
@@ -168,25 +170,30 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
             F.concat(vanished, F.array(row("_old", flagged)))
         )
 
-    is_new = old.isNull()
     is_changed = both & differs
-    if cfg.hard_deletes == "ignore":
-        # No key is ever left without an open row, so a version id cannot come back and one pass
-        # over the pairs gives everything.
-        outcome = (
-            F.when(is_new, opened)
-            .when(new.isNull(), vanished)
-            .when(is_changed, F.concat(superseded, opened))
-            .otherwise(kept)
-        )
-        return closed.unionByName(pairs.select(F.inline(outcome)))
-    settled = F.when(new.isNull(), vanished).when(is_changed, superseded).otherwise(kept)
-    remaining = pairs.where(old.isNotNull()).select(F.inline(settled))
-    starts = pairs.where(is_new | is_changed).select(F.inline(opened))
-    # A key that comes back with its old update time repeats the id of a closed version; that
-    # version stands and no row is added.
-    unseen = starts.join(closed.select(n.scd_id), n.scd_id, "left_anti")
-    return closed.unionByName(remaining).unionByName(unseen)
+    known = F.col("_new._seen") | F.col(f"_old.{n.scd_id}").eqNullSafe(F.col(f"_new.{n.scd_id}"))
+    starting = F.when(known, F.slice(opened, 1, 0)).otherwise(opened)
+    outcome = (
+        F.when(old.isNull(), starting)
+        .when(new.isNull(), vanished)
+        .when(is_changed, F.concat(superseded, starting))
+        .otherwise(kept)
+    )
+    return closed.unionByName(pairs.select(F.inline(outcome)))
+
+
+def _mark_seen(fresh: DataFrame, closed: DataFrame, cfg: SnapshotConfig) -> DataFrame:
+    """Flag source rows whose version is already in the history, closed.
+
+    That happens when a key comes back with its old update time; the closed version stands and no
+    row is added. The closed ids are cut to those of the source before they are joined to its rows.
+    """
+    if cfg.versions_unique:
+        return fresh.withColumn("_seen", F.lit(False))
+    version = [cfg.names.scd_id]
+    hits = unique_keys(rows_with(closed.select(*version), fresh, version), version).withColumn("_hit", F.lit(True))
+    marked = fresh.join(hits, key_of(version) == F.col(KEY), "left")
+    return marked.withColumn("_seen", F.coalesce("_hit", F.lit(False))).drop(KEY, "_hit")
 
 
 def _pair(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:

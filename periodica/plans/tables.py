@@ -87,18 +87,27 @@ def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
 def remove_old_builds(spark: SparkSession, name: str, root: str) -> list[str]:
     """Delete the folders of a table's earlier builds, once nothing reads them any more."""
     held = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-    jvm = spark.sparkContext._jvm
-    home = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    current = held.rstrip("/").rsplit("/", 1)[-1]
+    return _delete_children(spark, f"{root}/{name}", lambda child: child != current)
+
+
+def _delete_children(spark: SparkSession, folder: str, unwanted: Callable[[str], bool]) -> list[str]:
+    """Delete the unwanted sub-folders of a folder on whatever storage it is."""
+    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     removed = []
     for status in files.listStatus(home):
-        build = status.getPath()
-        if build.getName() != held.rstrip("/").rsplit("/", 1)[-1]:
-            files.delete(build, True)
-            removed.append(build.getName())
+        if unwanted(status.getPath().getName()):
+            files.delete(status.getPath(), True)
+            removed.append(status.getPath().getName())
     return removed
 
 
+def remove_versions_before(spark: SparkSession, root: str, version: str) -> list[str]:
+    """Delete version folders whose name sorts before ``version``."""
+    return _delete_children(spark, root, lambda child: child.startswith("version=") and child < version)
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
 

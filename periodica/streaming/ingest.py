@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from periodica.operators import snapshot
-from periodica.plans.tables import overwrite_partitions
+from periodica.plans.tables import overwrite_partitions, remove_versions_before
 
 
 def as_pattern(path: str) -> str:
@@ -106,7 +106,7 @@ def stream_history(
     """Apply each arriving batch of source rows to a history kept as one folder per batch.
 
     Batch b reads version b - 1 and writes version b, so a repeated batch rewrites its own version
-    from the same input. ``now_column`` holds the run time of the batch's rows; all rows of one run
+    from the same input; versions older than that input are removed. ``now_column`` holds the run time of the batch's rows; all rows of one run
     carry the same time.
     """
 
@@ -120,6 +120,8 @@ def stream_history(
             history = spark.read.parquet(version_path(root, batch_id - 1))
             result = snapshot.apply(history, source, config, now)
         result.write.mode("overwrite").parquet(version_path(root, batch_id))
+        oldest = version_path(root, max(batch_id - 1, 0)).rsplit("/", 1)[-1]
+        remove_versions_before(spark, root, oldest)
 
     run_to_end(
         arrivals.writeStream.foreachBatch(advance)

@@ -86,6 +86,31 @@ def test_new_record_life_cycle(spark, sentinel):
     )
 
 
+def test_same_run_time_closes_without_reopening(spark):
+    """Two check runs at one time would give both versions one id; only the first keeps it."""
+    cfg = SnapshotConfig(keys=["id"], strategy="check", check_columns=["v"])
+    history = initial(frame(spark, (1, "a", None)), cfg, NOW[0])
+    assert periods(apply(history, frame(spark, (1, "b", None)), cfg, NOW[0])) == [(1, "a", NOW[0], NOW[0])]
+
+
+def test_switched_off_hard_deletes_still_know_old_versions(spark):
+    first = frame(spark, (1, "a", DAYS[0]))
+    strict = SnapshotConfig(keys=["id"], updated_at="updated_at", hard_deletes="invalidate")
+    closed = apply(initial(first, strict, NOW[0]), frame(spark), strict, NOW[1])
+    relaxed = SnapshotConfig(keys=["id"], updated_at="updated_at")
+    assert periods(apply(closed, first, relaxed, NOW[2])) == [(1, "a", DAYS[0], NOW[1])]
+
+
+def test_trusted_versions_skip_the_look_up(spark):
+    rows = frame(spark, (1, "a", DAYS[0]), (2, "b", DAYS[0]))
+    newer = frame(spark, (1, "A", DAYS[1]), (3, "c", DAYS[1]))
+    results = []
+    for trusted in (False, True):
+        cfg = SnapshotConfig(keys=["id"], updated_at="updated_at", versions_unique=trusted)
+        results.append(periods(apply(initial(rows, cfg, NOW[0]), newer, cfg, NOW[1])))
+    assert results[0] == results[1]
+
+
 def test_null_keys_never_match(spark):
     cfg = SnapshotConfig(keys=["id"], updated_at="updated_at", hard_deletes="invalidate")
     rows = frame(spark, (None, "a", DAYS[0]), (None, "b", DAYS[1]))

@@ -139,12 +139,18 @@ def test_replayed_batch_gives_the_same_days(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
-def test_history_stream_can_replay_its_last_batch(spark, tmp_path):
+def test_history_stream_keeps_its_last_two_versions(spark, tmp_path):
     landing, versions, mark = (str(tmp_path / n) for n in ("in", "versions", "ck"))
     cfg = SnapshotConfig(keys=["id"], updated_at="ts")
-    for run, delivery in enumerate([[(1, "2024-01-01 00:00")], [(1, "2024-01-05 00:00"), (2, "2024-01-05 00:00")]]):
+    deliveries = [
+        [(1, "2024-01-01 00:00")],
+        [(1, "2024-01-05 00:00"), (2, "2024-01-05 00:00")],
+        [(1, "2024-01-05 00:00"), (2, "2024-01-05 00:00")],
+    ]
+    for run, delivery in enumerate(deliveries):
         rows = events(spark, *delivery).withColumn("run_time", F.lit(f"2025-01-0{run + 1}").cast("timestamp_ntz"))
         rows.write.mode("append").parquet(landing)
         ingest.stream_history(ingest.read_files(spark, landing, rows.schema), cfg, "run_time", versions, mark)
     history = ingest.latest_version(spark, versions)
     assert sorted((r.id, r.valid_to is None) for r in history.collect()) == [(1, False), (1, True), (2, True)]
+    assert sorted(p.name for p in (tmp_path / "versions").iterdir()) == [f"version={v:012d}" for v in (1, 2)]
