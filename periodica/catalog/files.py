@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from periodica.catalog.bindings import LOADED_AT, MONTHLY_SPENT, RAW_FACTS, money, raw_facts, with_sql
 from periodica.catalog.registry import query
+from periodica.fixed_values import FOOTER_PREFIX, FOOTNOTE_WORDS
 from periodica.functions.scalars import month_end
 from periodica.operators.schema import conform
 from periodica.plans.tables import replace_folder
@@ -288,13 +289,13 @@ def explode_records_query(spark, folder):
 
 @query(
     "filter_noise_lines",
-    r"""
+    rf"""
 WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 tested AS (SELECT doc_id, line, lower(line) AS low, regexp_replace(line, '^\s+', '') AS bare FROM lines)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
-         starts_with(lower(bare), 'www.acea.auto') OR (low LIKE '%page%' AND low LIKE '%of%')
+         starts_with(lower(bare), '{FOOTER_PREFIX}') OR (low LIKE '%page%' AND low LIKE '%of%')
          OR (regexp_matches(bare, '^[1-9] ') AND regexp_matches(low,
-             'acea estimation|includes|dodge|maserati|ram|bentley|bugatti|lamborghini|man'))) AS n_noise
+             '{'|'.join(FOOTNOTE_WORDS)}'))) AS n_noise
 FROM tested GROUP BY 1""",
 )
 def filter_noise_lines(spark, folder):

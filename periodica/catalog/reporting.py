@@ -18,6 +18,7 @@ from periodica.catalog.bindings import (
     with_sql,
 )
 from periodica.catalog.registry import query
+from periodica.fixed_values import SURROGATE_KEY_NULL
 from periodica.functions.scalars import month_end, not_equal_keep_null, surrogate_key
 from periodica.operators import triage
 from periodica.operators.dedupe import attach_latest, keep_latest
@@ -96,11 +97,14 @@ def first_value_latest(spark, folder):
     return attach_latest(events, ["user_id", "event_type"], ["ts", "event_id"], "value", "latest_value")
 
 
+def _key_part(value: str) -> str:
+    return f"coalesce({value}, '{SURROGATE_KEY_NULL}')"
+
+
 @query(
     "surrogate_key",
-    "SELECT o_orderkey, md5(coalesce(CAST(o_custkey AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' || "
-    "coalesce(nullif(o_orderstatus, 'P'), '_dbt_utils_surrogate_key_null_') || '-' || "
-    "coalesce(strftime(o_orderdate, '%b-%y'), '_dbt_utils_surrogate_key_null_')) AS id FROM orders",
+    f"SELECT o_orderkey, md5({_key_part('CAST(o_custkey AS VARCHAR)')} || '-' || "
+    f"{_key_part("nullif(o_orderstatus, 'P')")} || '-' || {_key_part("strftime(o_orderdate, '%b-%y')")}) AS id FROM orders",
 )
 def surrogate_key_query(spark, folder):
     status = F.nullif(F.col("o_orderstatus"), F.lit("P"))

@@ -62,8 +62,11 @@ def python_aggregate(
     The handler offers ``accumulate(*vectors)`` over numpy arrays, ``merge(state)``, a picklable ``state`` and
     ``finish()``. Rows are folded into partial states inside each task, then states are merged
     per (key, salt) and last per key; only states are shuffled, so one key holding most of the
-    rows costs no more than any other.
+    rows costs no more than any other. Without keys all rows are one group.
     """
+    if not keys:
+        whole = df.select(F.lit(1).alias("_whole"), *inputs)
+        return python_aggregate(whole, ["_whole"], inputs, handler, output, returns, salts).drop("_whole")
     keys = list(keys)
     inputs = list(inputs)
     key_fields = [df.schema[k] for k in keys]

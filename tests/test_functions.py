@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from periodica.fixed_values import SURROGATE_KEY_NULL
 from periodica.functions import scalars as S
 from periodica.functions.user_functions import grouped_apply, python_aggregate, python_scalar, sql_scalar
 
@@ -62,7 +63,7 @@ def test_hour_boundaries(spark):
 def test_surrogate_key_marks_null(spark):
     import hashlib
 
-    want = hashlib.md5(b"a-_dbt_utils_surrogate_key_null_").hexdigest()
+    want = hashlib.md5(f"a-{SURROGATE_KEY_NULL}".encode()).hexdigest()
     assert one(spark, "a", S.surrogate_key("v", F.lit(None).cast("string"))) == want
 
 
@@ -122,6 +123,12 @@ def test_python_aggregate_with_one_hot_key(spark, rows):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_python_aggregate_without_keys(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"))
+    got = python_aggregate(df, [], ["v"], mean_handler(), "m", T.DoubleType())
+    assert got.columns == ["m"] and [tuple(r) for r in got.collect()] == [(49.5,)]
+
+
 def test_grouped_apply_sees_whole_groups(spark):
     """Groups reach over Arrow batches and must not be cut there."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")

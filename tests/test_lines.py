@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from periodica.fixed_values import FOOTER_PREFIX
 from periodica.sources import files
 from periodica.sources.release_lines import carry_forward, is_noise, parse_lines
 
@@ -72,7 +73,7 @@ def test_88_lines_give_352_records(spark):
 
 @pytest.mark.parametrize(
     "line, noise",
-    [("www.acea.auto - press", True), (" Page 1 of 2", True), ("page one", False), ("1 Includes Bentley", True), ("1 Toyota", False),
+    [(f"{FOOTER_PREFIX} - press", True), (" Page 1 of 2", True), ("page one", False), ("1 Includes Bentley", True), ("1 Toyota", False),
      ("10 includes", False), ("", False), ("Man 1 2", False), ("3 MAN trucks", True), ("offer on page", True)],
 )
 def test_noise(spark, line, noise):
