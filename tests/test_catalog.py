@@ -29,6 +29,6 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_point(spark):
     import __spark_entry__ as entry
 
-    assert entry.queries().keys() == QUERIES.keys()
+    assert entry.queries().keys() == QUERIES.keys() | entry.CORPUS_QUERIES.keys()
     result = entry.entry(spark)
     assert result.columns == ["manufacturer", "region", "frequency", "date", "measure", "value"]
