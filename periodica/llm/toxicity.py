@@ -13,7 +13,7 @@ the lower example number.
 
 Score. A neighbour votes with ``1 / (1.1 - cosine)``. The sample is balanced and a vote is not a
 probability, so votes are mapped to the base rate by a logistic curve, fitted on the examples'
-own leave-one-out votes. A text without a vocabulary term has no neighbours and gets the base rate.
+own leave-one-out votes. A text without a vocabulary term has no neighbours; the base rate is its vote.
 
 What passes through the driver is bounded by the parameters: ``terms`` terms, their counts, and
 ``2 * per_class`` sparse examples over them.
@@ -103,9 +103,10 @@ class Index:
         return float((strength * self.toxic[numbers]).sum() / strength.sum())
 
     def score(self, vote: float | None) -> float:
-        if vote is None or self.curve is None:
+        if self.curve is None:
             return self.base_rate
         slope, shift = self.curve
+        vote = self.base_rate if vote is None else vote
         return round(1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, slope * vote + shift)))), 9)
 
 
@@ -166,7 +167,9 @@ def build(
         others = numbers != number
         vote = index.vote(numbers[others][:neighbours], cosines[others][:neighbours])
         votes.append(base_rate if vote is None else vote)
-    index.curve = logistic(np.array(votes), index.toxic, base_rate)
+    silent = [toxic for _, toxic, counts in examples if not counts]
+    toxic = np.concatenate([index.toxic, np.array(silent, dtype=np.int64)])
+    index.curve = logistic(np.array(votes + [base_rate] * len(silent)), toxic, base_rate)
     return index
 
 

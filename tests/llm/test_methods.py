@@ -157,7 +157,7 @@ def test_toxicity_on_held_out_rows(spark):
     held = [r for r in scored if r["held"] and r["doc_id"] in truth]
     assert len(held) > 80 and all(r["predicted"] == truth[r["doc_id"]] for r in held)
     empty = {r["doc_id"]: r for r in scored if r["doc_id"] in (1000, 1001)}
-    assert all(abs(r["score"] - index.base_rate) < 1e-9 and r["evidence"] == [] for r in empty.values())
+    assert all(r["score"] < index.base_rate and r["evidence"] == [] for r in empty.values())
 
 
 def test_toxicity_without_labels(spark):
