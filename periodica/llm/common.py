@@ -32,6 +32,17 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a table in the shared folder and read back.
+
+    For tables that a loop makes again and again: unlike a checkpoint, what is read back carries neither
+    the constraints nor the plan of what was written.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, every other character unchanged; NULL becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -12,10 +12,11 @@ at_least)`` shingles lie in one of them only.
    more than ``SPARE`` of them, which linked sets with nothing but empty parts in common both are.
    So every linked pair shares a signature.
 3. Links. Sets that share a signature are verified against one hub, the one met most often. Only sets
-   that are then still in different components are compared further, by other hubs first and, when no
-   more pairs are left than signature rows (or after ``HUB_ROUNDS``), all of them. A pair that shares a
-   signature ends up verified or inside one component, so components are exact.
-4. Components by least labels and pointer jumping, in rounds over frozen tables.
+   that are then still in different components are compared further: by other hubs while many pairs
+   are left and hubs settle at least half of them, then all the rest. Pairs that share fewer
+   signatures than their sizes ask for are no links and are not verified. So a pair that shares a
+   signature ends up refuted, verified or inside one component, and components are exact.
+4. Components by least labels and pointer jumping, in rounds over stored tables.
 
 NULL and empty texts have empty sets and link with nothing. Rows repeated with their id share a
 component; a row with a NULL id has a NULL component. An empty table gives an empty result; other
@@ -34,12 +35,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodica.llm.common import WordHashes, bucket_of, frozen, mix, slices, word_hashes
+from periodica.llm.common import WordHashes, bucket_of, mix, slices, stored, word_hashes
 
 SHINGLE = 3
 BAND = 1.5
 SPARE = 2
-HUB_ROUNDS = 6
+# Open pairs per signature row that are few enough to be compared at once.
+FEW_PAIRS = 8
+# A signature ends in its band's number; bands reach far beyond any text.
+LABEL_BITS = 6
+BAND_LIMIT = 1 << 33
 # Ids up to this number (8 bytes each) go to every task; more are joined by a shuffle.
 SMALL_IDS = 1_000_000
 
@@ -58,6 +63,11 @@ class Overlap:
     def linked(self, shared: int, sizes: int) -> bool:
         return self.of * shared >= self.at_least * (sizes - shared) and shared > 0
 
+    def parts(self, label: int) -> int:
+        """Parts of the shingle domain for the sets that sign for a band."""
+        ends = band_ends(BAND_LIMIT)
+        return self.differing(2 * (ends[label + 1] - 1)) + 1 + SPARE
+
 
 def shingle_hashes(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     """Hashes of the k-grams of one text's words; of the whole sequence when it is shorter."""
@@ -71,7 +81,7 @@ def shingle_hashes(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
 
 @cache
 def band_ends(limit: int) -> tuple[int, ...]:
-    """First sizes of the bands up to one beyond ``limit``."""
+    """First sizes of the bands up to one beyond ``limit`` shingles."""
     ends = [1]
     while ends[-1] <= limit:
         ends.append(int(ends[-1] * BAND) + 1)
@@ -83,17 +93,16 @@ def signatures(shingles: np.ndarray, rule: Overlap) -> np.ndarray:
     size = len(shingles)
     if not size:
         return np.array([], dtype=np.int64)
-    ends = band_ends(1 << size.bit_length())
+    ends = band_ends(BAND_LIMIT)
     band = int(np.searchsorted(ends, size, side="right")) - 1
     labels = [band]
     if size * rule.of >= rule.at_least * ends[band + 1]:
         labels.append(band + 1)
     found = []
     for label in labels:
-        differing = rule.differing(2 * (ends[label + 1] - 1))
-        if not differing:
+        parts = rule.parts(label)
+        if parts == 1 + SPARE:
             continue  # only equal sets link, and these are together already
-        parts = differing + 1 + SPARE
         part = bucket_of(mix(shingles, 1_000 + label), parts)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -103,7 +112,8 @@ def signatures(shingles: np.ndarray, rule: Overlap) -> np.ndarray:
         if parts - len(own) > SPARE:
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), own)
             own, content = np.append(own, empty), np.append(content, np.zeros(len(empty), np.uint64))
-        found.append(mix(content ^ mix(own, 3_000 + label), 4_000))
+        name = mix(content ^ mix(own, 3_000 + label), 4_000)
+        found.append(name << np.uint64(LABEL_BITS) | np.uint64(label))
     return np.concatenate(found).view(np.int64) if found else np.array([], dtype=np.int64)
 
 
@@ -172,8 +182,9 @@ def _verify(rule: Overlap, k: int):
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for the ids in ``links`` (a, b): the least id reachable."""
-    ways = frozen(links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).distinct())
-    labels = frozen(ways.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("component")))
+    ways = stored(links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).distinct(), "ways")
+    least = ways.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("component"))
+    labels = stored(least, "labels")
     while True:
         named = labels.select(F.struct("id").alias("key"), "component")
         near = ways.join(named, F.struct(F.col("b").alias("id")) == F.col("key"))
@@ -184,66 +195,88 @@ def components(links: DataFrame) -> DataFrame:
         jumped = lowered.join(named, F.struct(F.col("now").alias("id")) == F.col("key")).select(
             "id", "was", F.least("now", "component").alias("component")
         )
-        jumped = frozen(jumped)
+        jumped = stored(jumped, "labels")
         labels = jumped.select("id", "component")
         if not jumped.where("was <> component").limit(1).count():
             return labels
 
 
 def shared_signatures(members: DataFrame) -> DataFrame:
-    """(sig, id) of signatures that several sets have, frozen."""
-    signed = members.select("id", F.explode("signed").alias("sig"))
+    """(sig, id, size, n) of signatures that several sets have."""
+    signed = members.select("id", "size", F.explode("signed").alias("sig"))
     many = signed.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select(F.struct("sig").alias("key"), "n")
-    return frozen(signed.join(many, F.struct("sig") == F.col("key")).select("sig", "id", "n"))
+    return stored(signed.join(many, F.struct("sig") == F.col("key")).select("sig", "id", "size", "n"), "shared")
+
+
+def possible_pairs(met: DataFrame, rule: Overlap) -> DataFrame:
+    """Distinct (a, b) of ``met`` (sig, a, size_a, b, size_b) that share as many signatures as a link needs.
+
+    At most ``differing`` parts of two linked sets differ, and at most SPARE equal parts are unsigned.
+    """
+    bands = len(band_ends(BAND_LIMIT)) - 1
+    parts = F.array(*[F.lit(rule.parts(label)) for label in range(bands)])
+    label = F.col("sig").bitwiseAND(F.lit((1 << LABEL_BITS) - 1)).cast("int")
+    shared = met.groupBy("a", "b", "size_a", "size_b", label.alias("label")).agg(F.count("*").alias("n"))
+    both = F.col("size_a") + F.col("size_b")
+    most = F.floor(both * (rule.of - rule.at_least) / (rule.of + rule.at_least))
+    close = rule.of * F.least("size_a", "size_b") >= rule.at_least * F.greatest("size_a", "size_b")
+    return shared.where(close & (F.col("n") >= F.get(parts, F.col("label")) - most - SPARE)).select("a", "b").distinct()
 
 
 def link_components(live: DataFrame, texts: DataFrame, rule: Overlap, k: int) -> DataFrame:
-    """(id, component) of all ids in ``live`` (sig, id, n) that have a link; ``texts`` are compressed."""
+    """(id, component) of all ids in ``live`` (sig, id, size, n) that have a link; ``texts`` are compressed."""
     spark = live.sparkSession
-    degree = live.groupBy("id").agg(F.sum("n").alias("degree"))
-    rows = live.count()
-    tested = spark.createDataFrame([], "a long, b long")
-    links = spark.createDataFrame([], "a long, b long")
+    degree = live.groupBy("id").agg(F.sum("n").alias("degree")).select(F.struct("id").alias("key"), "degree")
+    ranked = live.join(degree, F.struct("id") == F.col("key")).select("sig", "id", "size", "degree")
+    ranked = stored(ranked, "ranked")
+    rows = ranked.count()
+    tested = links = None
     labels = spark.createDataFrame([], "id long, component long")
-    ranked = frozen(live.join(degree.select(F.struct("id").alias("key"), "degree"), F.struct("id") == F.col("key")).select("sig", "id", "degree"))
-    for turn in range(HUB_ROUNDS + 2):
-        now = ranked.join(labels.select(F.col("id").alias("of"), "component"), F.col("id") == F.col("of"), "left")
-        now = now.select("sig", "id", "degree", F.coalesce("component", "id").alias("component"))
+    before, turn, last = None, 0, False
+    while not last:
+        now = ranked.join(labels.select(F.struct("id").alias("of"), "component"), F.struct("id") == F.col("of"), "left")
+        now = now.select("sig", "id", "size", "degree", F.coalesce("component", "id").alias("component"))
         counts = now.groupBy("sig", "component").agg(F.count("*").alias("n")).groupBy("sig").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")
         )
         open_ = counts.withColumn("cross", (F.col("n") * F.col("n") - F.col("squares")) / 2).where("cross > 0")
-        open_ = frozen(open_.select(F.struct("sig").alias("key"), "cross"))
+        open_ = stored(open_.select(F.struct("sig").alias("key"), "cross"), "open")
         left = open_.agg(F.sum("cross").alias("n")).first()["n"]
         if not left:
             break
-        here = frozen(now.join(open_, F.struct("sig") == F.col("key")).select("sig", "id", "degree", "component"))
-        last = turn and (left <= rows or turn > HUB_ROUNDS)
+        here = now.join(open_, F.struct("sig") == F.col("key")).select("sig", "id", "size", "degree", "component")
+        here = stored(here, "here")
+        last = before is not None and (left <= FEW_PAIRS * rows or 2 * left > before)
+        before = left
+        own = here.select("sig", F.col("id").alias("a"), F.col("size").alias("size_a"), "component")
         if last:
-            other = here.select(F.struct("sig").alias("key"), F.col("id").alias("b"), F.col("component").alias("theirs"))
-            pairs = here.join(other, (F.struct("sig") == F.col("key")) & (F.col("component") < F.col("theirs")))
-            pairs = pairs.select(F.col("id").alias("a"), "b")
+            other = here.select(
+                F.struct("sig").alias("key"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("theirs")
+            )
+            apart = F.col("component") < F.col("theirs")
         else:
-            order = F.struct("degree", "id") if not turn else F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"))
-            place = order.alias("place")
-            hubs = here.select("sig", "id", "component", place).groupBy("sig").agg(
-                F.max(F.struct("place", "id", "component")).alias("hub")
+            place = F.struct("degree", "id") if not turn else F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"))
+            hubs = here.select("sig", F.struct(place.alias("place"), "id", "size", "component").alias("hub"))
+            hubs = hubs.groupBy("sig").agg(F.max("hub").alias("hub"))
+            other = hubs.select(
+                F.struct("sig").alias("key"), F.col("hub.id").alias("b"), F.col("hub.size").alias("size_b"), F.col("hub.component").alias("theirs")
             )
-            hubs = hubs.select(F.struct("sig").alias("key"), F.col("hub.id").alias("b"), F.col("hub.component").alias("theirs"))
-            pairs = here.join(hubs, (F.struct("sig") == F.col("key")) & (F.col("component") != F.col("theirs")))
-            pairs = pairs.select(F.col("id").alias("a"), "b")
-        pairs = frozen(pairs.distinct())
-        both = tested.unionAll(tested.select(F.col("b"), F.col("a")))
-        fresh = pairs.join(both.select(F.struct("a", "b").alias("key")), F.struct("a", "b") == F.col("key"), "left_anti")
-        own = texts.select(F.struct("id").alias("of_a"), F.col("text").alias("text_a"))
-        hub = texts.select(F.struct("id").alias("of_b"), F.col("text").alias("text_b"))
-        held = fresh.join(own, F.struct(F.col("a").alias("id")) == F.col("of_a")).select("a", "b", "text_a")
-        held = held.join(hub, F.struct(F.col("b").alias("id")) == F.col("of_b")).select("a", "b", "text_a", "text_b")
-        links = frozen(links.unionAll(held.mapInArrow(_verify(rule, k), "a long, b long")))
-        tested = tested.unionAll(pairs)
+            apart = F.col("component") != F.col("theirs")
+        met = own.join(other, (F.struct("sig") == F.col("key")) & apart)
+        pairs = stored(possible_pairs(met, rule), "pairs")
+        fresh = pairs
+        if tested is not None:
+            both = tested.unionAll(tested.select(F.col("b"), F.col("a"))).select(F.struct("a", "b").alias("key"))
+            fresh = pairs.join(both, F.struct("a", "b") == F.col("key"), "left_anti")
+        first = texts.select(F.struct("id").alias("of_a"), F.col("text").alias("text_a"))
+        second = texts.select(F.struct("id").alias("of_b"), F.col("text").alias("text_b"))
+        held = fresh.join(first, F.struct(F.col("a").alias("id")) == F.col("of_a")).select("a", "b", "text_a")
+        held = held.join(second, F.struct(F.col("b").alias("id")) == F.col("of_b")).select("a", "b", "text_a", "text_b")
+        found = held.mapInArrow(_verify(rule, k), "a long, b long")
+        links = stored(found if links is None else links.unionAll(found), "links")
+        tested = pairs if tested is None else tested.unionAll(pairs)
         labels = components(links)
-        if last:
-            break
+        turn += 1
     return labels
 
 
@@ -257,16 +290,16 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    described = frozen(named.mapInArrow(_describe(rule, k), "id long, size long, one long, two long, signed array<long>"))
+    described = stored(named.mapInArrow(_describe(rule, k), "id long, size long, one long, two long, signed array<long>"), "sets")
     sets = described.select("id", F.struct("one", "two", "size").alias("set"))
-    alike = frozen(sets.where("set.size > 0 and id is not null").groupBy("set").agg(F.min("id").alias("rep")))
+    alike = stored(sets.where("set.size > 0 and id is not null").groupBy("set").agg(F.min("id").alias("rep")), "alike")
     members = described.join(alike.select(F.col("rep").alias("of")), F.col("id") == F.col("of"), "left_semi")
     live = shared_signatures(members)
     wanted = live.select("id").distinct()
     if wanted.count() <= small_ids:
         wanted = F.broadcast(wanted)
     texts = named.join(wanted, "id", "left_semi").mapInArrow(_compress, "id long, text binary")
-    texts = frozen(texts)
+    texts = stored(texts, "texts")
     labels = link_components(live, texts, rule, k)
     grouped = alike.join(labels, F.col("rep") == F.col("id"), "left")
     grouped = grouped.select(F.struct("set").alias("key"), F.coalesce("component", "rep").alias("component"))
