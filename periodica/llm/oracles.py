@@ -2,4 +2,17 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from periodica.llm.common import LOWER, UPPER
+
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": f"""
+        WITH normal AS (
+            SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body FROM documents
+        ), judged AS (
+            SELECT doc_id, body, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
+            FROM normal WINDOW same AS (PARTITION BY body)
+        )
+        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256
+        FROM judged
+    """,
+}
