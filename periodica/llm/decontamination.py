@@ -236,7 +236,8 @@ def _block_column(docs: DataFrame, block: list[tuple[int, str]]):
             held += shared.value.matches(texts[cut : cut + SLICE_TEXTS])
         return pd.Series(held, dtype="object")
 
-    return found
+    # A filter or explode on the result would otherwise be pushed below it, and every text be matched twice.
+    return found.asNondeterministic()
 
 
 def matches_column(
