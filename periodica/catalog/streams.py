@@ -33,39 +33,41 @@ WITH w AS (
   SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
          count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
   FROM events GROUP BY 1, 2, 3)
-SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""",
+SELECT * FROM w""",
 )
 def stream_refresh_agg(spark, folder):
-    """Hourly totals of all windows that have closed."""
+    """Hourly totals, refreshed after three deliveries, the last of which is late throughout."""
     root = work_dir(spark, "refresh")
-    rows = ingest.read_files(spark, f"{folder}/events.parquet", table(spark, folder, "events").schema)
-    totals = ingest.windowed_refresh(
-        rows,
-        "ts",
-        "2 hours",
-        "1 hour",
-        ["event_type"],
-        [
-            F.count(F.lit(1)).alias("n_events"),
-            F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
-        ],
-    )
-    ingest.ingest_once(totals, f"{root}/totals", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/totals")
+    events = table(spark, folder, "events")
+    turn = F.when(F.col("event_type") == "click", 2).when(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"), 0).otherwise(1)
+    aggregates = [
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+    ]
+    for delivery in range(3):
+        events.where(F.coalesce(turn, F.lit(1)) == delivery).write.mode("append").parquet(f"{root}/landing")
+        ingest.replace_touched_days(
+            ingest.read_files(spark, f"{root}/landing", events.schema),
+            "ts",
+            lambda: spark.read.schema(events.schema).parquet(f"{root}/landing"),
+            lambda rows: ingest.windowed_totals(rows, "ts", "1 hour", ["day", "event_type"], aggregates),
+            f"{root}/totals",
+            f"{root}/checkpoint",
+        )
+    return spark.read.parquet(f"{root}/totals").drop("day")
 
 
 @query("stream_dedupe", "SELECT * FROM events")
 def stream_dedupe(spark, folder):
-    """Two overlapping deliveries of the events: all of them, and purchases and errors again."""
+    """Three deliveries: the later half, purchases and errors once more, and then everything."""
     root = work_dir(spark, "dedupe")
-    schema = table(spark, folder, "events").schema
-    first = ingest.read_files(spark, f"{folder}/events.parquet", schema)
-    again = ingest.read_files(spark, f"{folder}/events.parquet", schema).where(
-        F.col("event_type").isin("purchase", "error")
-    )
-    kept = ingest.keep_first(first.unionByName(again), ["event_id"], "ts", "1 hour")
-    ingest.ingest_once(kept, f"{root}/kept", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/kept")
+    events = table(spark, folder, "events")
+    later = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for delivery in [events.where(later), events.where(F.col("event_type").isin("purchase", "error")), events]:
+        delivery.write.mode("append").parquet(f"{root}/landing")
+        rows = ingest.read_files(spark, f"{root}/landing", events.schema)
+        ingest.keep_first(rows, ["event_id"], f"{root}/kept", f"{root}/checkpoint")
+    return spark.read.schema(events.schema).parquet(f"{root}/kept")
 
 
 @query(

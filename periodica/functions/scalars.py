@@ -133,8 +133,14 @@ def version_hash(*columns: Column | str) -> Column:
 
 
 def month_end(text: Column | str) -> Column:
-    """Month-end date of 'Mon-YY' text; years 69-99 belong to the 1900s, 00-68 to the 2000s."""
-    first = F.try_to_date(_col(text), "MMM-yy")
+    """Month-end date of 'Mon-YY' text; years 69-99 belong to the 1900s, 00-68 to the 2000s.
+
+    NULL stays NULL; any other text that is no such label is an error that names it.
+    """
+    label = _col(text)
+    readable = F.try_to_date(label, "MMM-yy")
+    unreadable = F.raise_error(F.concat(F.lit("unreadable month label: "), label)).cast("date")
+    first = F.when(label.isNotNull() & readable.isNull(), unreadable).otherwise(readable)
     pivoted = F.when(F.year(first) >= 2069, F.add_months(first, -1200)).otherwise(first)
     return F.last_day(pivoted)
 

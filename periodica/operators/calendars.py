@@ -5,28 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodica.functions.scalars import add_interval
-
-INTERVALS = {
-    "second": "interval 1 second",
-    "minute": "interval 1 minute",
-    "hour": "interval 1 hour",
-    "day": "interval 1 day",
-    "week": "interval 7 days",
-    "month": "interval 1 month",
-    "quarter": "interval 3 months",
-    "year": "interval 1 year",
-}
+from periodica.functions.scalars import add_interval, boundaries_between
 
 
 def date_spine(df: DataFrame, part: str, start: Column, end: Column, output: str) -> DataFrame:
-    """For each row the dates start, start + 1 part, ... before ``end``; none if start >= end."""
-    begin = start.cast("timestamp_ntz")
-    stop = end.cast("timestamp_ntz")
-    steps = F.sequence(begin, stop, F.expr(INTERVALS[part]))
-    dated = df.withColumn("_begin", begin).withColumn("_stop", stop).where("_begin < _stop")
-    spine = dated.withColumn(output, F.explode(steps)).where(F.col(output) < F.col("_stop"))
-    return spine.drop("_begin", "_stop")
+    """For each row the dates start, start + 1 part, ...: as many as period boundaries lie before ``end``.
+
+    No date where none is crossed. Long spans are filled in blocks, like any ``number_series``.
+    """
+    begin, stop = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    counted = df.withColumn("_begin", begin).withColumn("_periods", boundaries_between(part, begin, stop))
+    numbered = number_series(counted.where("_periods > 0"), F.col("_periods"), "_period")
+    dated = numbered.withColumn(output, add_interval(part, F.col("_period") - 1, F.col("_begin")))
+    return dated.drop("_begin", "_periods", "_period")
 
 
 def number_series(df: DataFrame, upper: Column, output: str, block: int = 1_000_000) -> DataFrame:

@@ -112,14 +112,20 @@ def _changed(cfg: SnapshotConfig, columns: Sequence[str], held: Sequence[str]) -
     if cfg.strategy == "timestamp":
         return F.col(f"_old.{cfg.names.valid_from}") < _moment(F.col(f"_new.{cfg.updated_at}"))
     checked = list(cfg.check_columns or columns)
-    if any(c not in held for c in checked):
+    known = {h.lower() for h in held}
+    if any(c.lower() not in known for c in checked):
         return F.lit(True)
     return any_of(*[~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in checked])
 
 
 def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
-    """The history after one more run. Keys are unique in the source and among open rows."""
+    """The history after one more run. Keys are unique in the source and among open rows.
+
+    Source columns are matched to the history's without regard to case and take its spelling.
+    """
     n = cfg.names
+    matched = [find(history.schema, c) for c in source.columns]
+    source = source.toDF(*[m.name if m else c for m, c in zip(matched, source.columns)])
     moment = _moment(now)
     held = list(history.columns)
     added = [f for f in source.schema if not find(history.schema, f.name)]

@@ -108,6 +108,11 @@ def remove_versions_before(spark: SparkSession, root: str, version: str) -> list
     return _delete_children(spark, root, lambda child: child.startswith("version=") and child < version)
 
 
+def remove_steps(spark: SparkSession, root: str) -> list[str]:
+    """Delete what a finished batch has written between its runs."""
+    return _delete_children(spark, root, lambda child: child == "_steps")
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
 

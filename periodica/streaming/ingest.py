@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from periodica.operators import snapshot
-from periodica.plans.tables import overwrite_partitions, remove_versions_before
+from periodica.operators.joins import rows_without
+from periodica.plans.tables import overwrite_partitions, remove_steps, remove_versions_before
 
 
 def as_pattern(path: str) -> str:
@@ -48,12 +49,13 @@ def ingest_once(rows: DataFrame, output: str, checkpoint: str) -> None:
     )
 
 
-def windowed_refresh(
-    rows: DataFrame, event_time: str, lateness: str, width: str, keys: Sequence[str], aggregates: Sequence
-) -> DataFrame:
-    """Aggregate per tumbling window, each window given out once it can no longer change."""
-    timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, lateness)
-    grouped = timed.groupBy(F.window(event_time, width).alias("_window"), *keys).agg(*aggregates)
+def windowed_totals(rows: DataFrame, event_time: str, width: str, keys: Sequence[str], aggregates: Sequence) -> DataFrame:
+    """Aggregates per tumbling window and key.
+
+    As the model of ``replace_touched_days``, with the day among the keys and a width that divides a
+    day, it keeps a refreshed total of everything that has arrived: last windows and late events too.
+    """
+    grouped = rows.groupBy(F.window(event_time, width).alias("_window"), *keys).agg(*aggregates)
     return grouped.select(
         F.col("_window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("_window.end").cast("timestamp_ntz").alias("window_end"),
@@ -61,11 +63,27 @@ def windowed_refresh(
     )
 
 
-def keep_first(rows: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """First arrival per key among arrivals no further apart than the lateness."""
-    timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, lateness)
-    first = timed.dropDuplicatesWithinWatermark(list(keys))
-    return first.withColumn(event_time, F.col(event_time).cast("timestamp_ntz"))
+def keep_first(rows: DataFrame, keys: Sequence[str], output: str, checkpoint: str, taken_in: str = "taken_in") -> None:
+    """Append the first arrival per key to the output, however late it or its copies come.
+
+    Every batch has its own partition of the output and is held against the keys of earlier batches
+    only, so running a batch twice leaves the same keys.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(list(keys))
+        if batch_id > 0:
+            layout = T.StructType([*batch.schema.fields, T.StructField(taken_in, T.LongType())])
+            taken = batch.sparkSession.read.schema(layout).parquet(output).where(F.col(taken_in) < batch_id)
+            fresh = rows_without(fresh, taken, keys)
+        overwrite_partitions(fresh.withColumn(taken_in, F.lit(batch_id).cast("long")), output, [taken_in])
+
+    run_to_end(
+        rows.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def replace_touched_days(
@@ -106,20 +124,30 @@ def stream_history(
     """Apply each arriving batch of source rows to a history kept as one folder per batch.
 
     Batch b reads version b - 1 and writes version b, so a repeated batch rewrites its own version
-    from the same input; versions older than that input are removed. ``now_column`` holds the run time of the batch's rows; all rows of one run
-    carry the same time.
+    from the same input; versions older than that input are removed. ``now_column`` holds the run time;
+    all rows of one run carry the same time and arrive in one batch. Runs waiting together are applied
+    one by one in time order. A key that a run holds twice, or a missing run time, is an error.
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        now = batch.select(F.max(now_column)).scalar()
-        source = batch.drop(now_column)
-        if batch_id == 0:
-            result = snapshot.initial(source, config, now)
-        else:
-            history = spark.read.parquet(version_path(root, batch_id - 1))
-            result = snapshot.apply(history, source, config, now)
-        result.write.mode("overwrite").parquet(version_path(root, batch_id))
+        # One row per run, not per source row.
+        times = [r[0] for r in batch.select(now_column).distinct().orderBy(now_column).toLocalIterator()]
+        if None in times:
+            raise ValueError(f"rows without a run time in {now_column}")
+        history = spark.read.parquet(version_path(root, batch_id - 1)) if batch_id else None
+        for step, now in enumerate(times):
+            source = batch.where(F.col(now_column) == F.lit(now)).drop(now_column)
+            if not source.groupBy(*config.keys).count().where("count > 1").isEmpty():
+                raise ValueError(f"the run of {now} holds a key more than once")
+            history = snapshot.apply(history, source, config, now) if history else snapshot.initial(source, config, now)
+            if step < len(times) - 1:
+                path = f"{root}/_steps/{batch_id:012d}-{step:06d}"
+                history.write.mode("overwrite").parquet(path)
+                history = spark.read.parquet(path)
+        history = history or snapshot.initial(batch.drop(now_column), config, None)
+        history.write.mode("overwrite").parquet(version_path(root, batch_id))
+        remove_steps(spark, root)
         oldest = version_path(root, max(batch_id - 1, 0)).rsplit("/", 1)[-1]
         remove_versions_before(spark, root, oldest)
 

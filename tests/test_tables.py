@@ -98,7 +98,7 @@ def events(spark, *data):
     return spark.createDataFrame([(i, dt.datetime.fromisoformat(t)) for i, t in data], "id int, ts timestamp_ntz")
 
 
-def test_late_events_beyond_the_watermark_do_not_reopen_windows(spark, tmp_path):
+def test_late_and_last_events_reach_their_windows(spark, tmp_path):
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "ck"))
     deliveries = [
         [(1, "2024-01-01 00:10"), (2, "2024-01-01 03:00")],
@@ -107,20 +107,44 @@ def test_late_events_beyond_the_watermark_do_not_reopen_windows(spark, tmp_path)
     for delivery in deliveries:
         rows = events(spark, *delivery)
         rows.write.mode("append").parquet(landing)
-        stream = ingest.read_files(spark, landing, rows.schema)
-        counted = ingest.windowed_refresh(stream, "ts", "1 hour", "1 hour", [], [F.count(F.lit(1)).alias("n")])
-        ingest.ingest_once(counted, out, mark)
+        ingest.replace_touched_days(
+            ingest.read_files(spark, landing, rows.schema),
+            "ts",
+            lambda: spark.read.parquet(landing),
+            lambda df: ingest.windowed_totals(df, "ts", "1 hour", ["day"], [F.count(F.lit(1)).alias("n")]),
+            out,
+            mark,
+        )
     got = sorted((r.window_start.hour, r.n) for r in spark.read.parquet(out).collect())
-    assert got == [(0, 1), (2, 1), (3, 1)]
+    assert got == [(0, 2), (2, 1), (3, 1), (6, 1)]
 
 
 def test_keep_first_across_batches(spark, tmp_path):
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "ck"))
-    for delivery in [[(1, "2024-01-01 00:10")], [(1, "2024-01-01 00:20"), (2, "2024-01-01 00:30")]]:
+    deliveries = [
+        [(1, "2024-01-01 00:10"), (2, "2024-01-05 00:00")],
+        [(1, "2024-01-01 00:20"), (3, "2024-01-06 00:30"), (3, "2024-01-06 00:40")],
+        [(4, "2024-01-01 00:00"), (2, "2024-01-05 00:00")],
+    ]
+    for delivery in deliveries:
         rows = events(spark, *delivery)
         rows.write.mode("append").parquet(landing)
-        ingest.ingest_once(ingest.keep_first(ingest.read_files(spark, landing, rows.schema), ["id"], "ts", "1 hour"), out, mark)
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+        ingest.keep_first(ingest.read_files(spark, landing, rows.schema), ["id"], out, mark)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+
+
+def test_waiting_runs_are_applied_one_by_one(spark, tmp_path):
+    landing, versions, mark = (str(tmp_path / n) for n in ("in", "versions", "ck"))
+    cfg = SnapshotConfig(keys=["id"], updated_at="ts")
+    for run in (2, 1):
+        rows = events(spark, (1, f"2024-01-0{run} 00:00")).withColumn("run_time", F.lit(f"2025-01-0{run}").cast("timestamp_ntz"))
+        rows.write.mode("append").parquet(landing)
+    ingest.stream_history(ingest.read_files(spark, landing, rows.schema), cfg, "run_time", versions, mark)
+    history = ingest.latest_version(spark, versions)
+    assert sorted((r.ts.day, r.valid_to and r.valid_to.day) for r in history.collect()) == [(1, 2), (2, None)]
+    rows.unionByName(rows).write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="more than once"):
+        ingest.stream_history(ingest.read_files(spark, landing, rows.schema), cfg, "run_time", versions, mark)
 
 
 def test_replayed_batch_gives_the_same_days(spark, tmp_path):
