@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from periodica.llm import (
     decontamination,
     exact_dedup,
+    importance_resampling,
     jaccard_join,
     license_scan,
     packing,
     pii_scan,
     secret_scan,
+    simhash_golay,
+    spelling_variants,
     substring_dedup,
     toxicity,
     url_filter,
@@ -81,6 +84,18 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op11_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_golay.simhash_components(table(spark, folder, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,5 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_scan,
         op9_license_scan,
         op10_jaccard_join,
+        op11_simhash_dedup,
+        op12_importance_resampling,
+        op13_spelling_variants,
     )
 }
