@@ -385,7 +385,9 @@ def limit_ordered(spark, folder):
     "date_spine",
     """
 WITH spans AS (SELECT o_custkey, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders GROUP BY 1),
-steps AS (SELECT o_custkey, lo, unnest(generate_series(1, date_diff('week', lo, hi))) AS n FROM spans)
+steps AS (
+  SELECT o_custkey, lo, unnest(generate_series(1, date_diff('day', date_trunc('week', lo), date_trunc('week', hi)) // 7)) AS n
+  FROM spans)
 SELECT o_custkey, lo + to_days(CAST(7 * (n - 1) AS INTEGER)) AS date_week FROM steps""",
 )
 def date_spine(spark, folder):
