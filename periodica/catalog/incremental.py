@@ -136,10 +136,6 @@ def insert_overwrite_predicate(spark, folder):
 def insert_overwrite_partitions(spark, folder):
     """On disk: only the years that the source has rows for are replaced."""
     path = work_dir(spark, "partitions")
-
-    def by_year(rows):
-        return rows.withColumn("order_year", F.year("o_orderdate"))
-
     tables.overwrite_partitions(by_year(orders_target(spark, folder)), path, ["order_year"])
     tables.overwrite_partitions(by_year(orders_source(spark, folder)), path, ["order_year"])
     return spark.read.parquet(path)
@@ -187,6 +183,82 @@ def incremental_lifecycle(spark, folder):
     return result
 
 
+def by_year(rows):
+    return rows.withColumn("order_year", F.year("o_orderdate"))
+
+
+def two_runs(spark, label, first, second, strategy, partition_by, **options):
+    """An incremental table built from ``first``, and run again with ``second`` as its source."""
+    root = work_dir(spark, label)
+    name = f"{label}_" + root.rsplit("-", 1)[-1]
+    for rows in (first, second):
+        result = tables.run_incremental(spark, name, root, lambda _: rows, strategy, partition_by=partition_by, **options)
+    return result
+
+
+@query(
+    "incremental_partitioned",
+    with_sql(TARGET_SOURCE, f"SELECT *, year(o_orderdate) AS order_year FROM ({UNMATCHED} UNION ALL SELECT * FROM src)"),
+)
+def incremental_partitioned(spark, folder):
+    """A merge into a table by year; years without matched or new orders keep their files."""
+    target, source = orders_target(spark, folder), orders_source(spark, folder)
+    return two_runs(spark, "by_year", by_year(target), by_year(source), "merge", ["order_year"], keys=["o_orderkey"])
+
+
+@query(
+    "incremental_partitioned_delete",
+    with_sql(
+        TARGET_SOURCE,
+        "SELECT *, year(o_orderdate) AS order_year FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src "
+        "WHERE src.o_custkey = tgt.o_custkey AND src.o_orderstatus = tgt.o_orderstatus AND tgt.o_orderdate >= TIMESTAMP '1998-01-01') "
+        "UNION ALL SELECT *, year(o_orderdate) FROM src",
+    ),
+)
+def incremental_partitioned_delete(spark, folder):
+    """Target rows from 1998 on go when their customer has new orders of that state."""
+    return two_runs(
+        spark,
+        "by_customer",
+        by_year(orders_target(spark, folder)),
+        by_year(orders_source(spark, folder)),
+        "delete_insert",
+        ["order_year"],
+        keys=["o_custkey", "o_orderstatus"],
+        predicate=F.col("o_orderdate") >= moment("1998-01-01"),
+    )
+
+
+@query(
+    "incremental_partitioned_slice",
+    "SELECT *, CAST(ts AS DATE) AS day FROM events WHERE ts < TIMESTAMP '2024-01-10 06:00:00' OR ts >= TIMESTAMP '2024-01-20' UNION ALL "
+    "SELECT * REPLACE (value + 1 AS value), CAST(ts AS DATE) FROM events WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' "
+    "AND ts < TIMESTAMP '2024-01-15' AND event_type <> 'error'",
+)
+def incremental_partitioned_slice(spark, folder):
+    """A slice of ten days, one of them cut in two, is replaced; half of its days are left without events."""
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    start, end = moment("2024-01-10 06:00:00"), moment("2024-01-20")
+    again = events.where((F.col("ts") >= start) & (F.col("ts") < moment("2024-01-15")) & (F.col("event_type") != "error"))
+    again = again.withColumn("value", F.col("value") + 1)
+    return two_runs(spark, "by_day", events, again, "microbatch", ["day"], event_time="ts", start=start, end=end)
+
+
+@query(
+    "incremental_partitioned_columns",
+    with_sql(
+        TARGET_SOURCE,
+        "SELECT * EXCLUDE (o_orderpriority), NULL AS o_orderpriority, year(o_orderdate) AS order_year FROM tgt "
+        "UNION ALL SELECT * EXCLUDE (o_orderpriority), o_orderpriority, year(o_orderdate) FROM src",
+    ),
+)
+def incremental_partitioned_columns(spark, folder):
+    """An append that brings a column the table lacks; it adds files and a column, and reads nothing."""
+    target = by_year(orders_target(spark, folder)).drop("o_orderpriority")
+    source = by_year(orders_source(spark, folder))
+    return two_runs(spark, "columns", target, source, "append", ["order_year"], on_schema_change="append_new_columns")
+
+
 @query(
     "incremental_high_watermark",
     "SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-15')",

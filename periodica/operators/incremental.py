@@ -133,18 +133,20 @@ def newer_than_target(source: DataFrame, target: DataFrame, column: str) -> Data
     return source.where(mark.isNull() | (F.col(column) > mark))
 
 
+STRATEGIES = {
+    "append": append,
+    "merge": merge,
+    "delete_insert": delete_insert,
+    "insert_overwrite": replace_where,
+    "microbatch": replace_period,
+}
+
+
 def apply_strategy(
     strategy: str, target: DataFrame, source: DataFrame, on_schema_change: str = "ignore", **options
 ) -> DataFrame:
     """Reconcile schemas, then run the strategy of that name."""
-    strategies = {
-        "append": append,
-        "merge": merge,
-        "delete_insert": delete_insert,
-        "insert_overwrite": replace_where,
-        "microbatch": replace_period,
-    }
-    if strategy not in strategies:
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy: {strategy}")
     target, source = reconcile(target, source, on_schema_change)
-    return strategies[strategy](target, source, **options)
+    return STRATEGIES[strategy](target, source, **options)

@@ -12,8 +12,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.operators.incremental import apply_strategy
+from periodica.operators.incremental import STRATEGIES, apply_strategy
 from periodica.operators.schema import find
+from periodica.plans import partitioned
 
 
 def replace_folder(df: DataFrame, path: str) -> DataFrame:
@@ -55,14 +56,15 @@ def clustered_write(
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows for."""
     (
-        df.write.mode("overwrite")
+        partitioned.evenly(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
+def swap_table(df: DataFrame, name: str, root: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Build a table aside under ``root`` and let it take over ``name``.
 
     An existing table is renamed away, the new one renamed in, and the old one dropped; a view of
@@ -73,9 +75,16 @@ def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
         spark.sql(f"DROP VIEW {name}")
     build, backup = f"{name}__build", f"{name}__backup"
     path = f"{root}/{name}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {build}")
-    spark.catalog.createTable(build, path=path, source="parquet")
+    if partition_by:
+        partitioned.evenly(df, partition_by).write.partitionBy(*partition_by).parquet(path)
+        by = ", ".join(partitioned.quoted(c) for c in partition_by)
+        columns = partitioned.columns_ddl(df.schema.fields)
+        spark.sql(f"CREATE TABLE {build} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION {partitioned.literal(path)}")
+        spark.sql(f"ALTER TABLE {build} RECOVER PARTITIONS")
+    else:
+        df.write.parquet(path)
+        spark.catalog.createTable(build, path=path, source="parquet")
     if spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE IF EXISTS {backup}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
@@ -86,8 +95,7 @@ def swap_table(df: DataFrame, name: str, root: str) -> DataFrame:
 
 def remove_old_builds(spark: SparkSession, name: str, root: str) -> list[str]:
     """Delete the folders of a table's earlier builds, once nothing reads them any more."""
-    held = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-    current = held.rstrip("/").rsplit("/", 1)[-1]
+    current = partitioned.location(spark, name).rstrip("/").rsplit("/", 1)[-1]
     return _delete_children(spark, f"{root}/{name}", lambda child: child != current)
 
 
@@ -154,19 +162,27 @@ def run_incremental(
     strategy: str,
     full_refresh: bool = False,
     on_schema_change: str = "ignore",
+    partition_by: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """One run of an incremental model.
 
     The model gets the existing table, or None on a first run, a full refresh, or when a view holds
-    the name; in those cases its result becomes the table as it is.
+    the name; in those cases its result becomes the table as it is, partitioned by ``partition_by``.
+    Later runs write the partitions they touch, and an append only adds files (see ``partitioned``);
+    tables without partitions are built anew by the other strategies.
     """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy: {strategy}")
     exists = spark.catalog.tableExists(name) and not _is_view(spark, name)
     if full_refresh or not exists:
-        return swap_table(model(None), name, root)
+        return swap_table(model(None), name, root, partition_by)
     target = spark.table(name)
-    merged = apply_strategy(strategy, target, model(target), on_schema_change, **options)
-    return swap_table(merged, name, root)
+    source = model(target)
+    if partitioned.run_in_place(spark, name, source, strategy, on_schema_change, options):
+        return spark.table(name)
+    merged = apply_strategy(strategy, target, source, on_schema_change, **options)
+    return swap_table(merged, name, root, partitioned.partition_columns(spark, name))
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
