@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from periodica.catalog import history
@@ -10,7 +12,7 @@ from periodica.catalog.registry import query
 from periodica.operators.dedupe import keep_latest
 from periodica.operators.snapshot import SnapshotConfig
 from periodica.session import table, work_dir
-from periodica.streaming import ingest
+from periodica.streaming import ingest, stateful
 
 
 @query("stream_ingest_once", "SELECT * FROM events")
@@ -36,21 +38,26 @@ WITH w AS (
 SELECT * FROM w""",
 )
 def stream_refresh_agg(spark, folder):
-    """Hourly totals, refreshed after three deliveries, the last of which is late throughout."""
+    """Hourly totals kept in state, refreshed after three deliveries, the last of which is late throughout."""
     root = work_dir(spark, "refresh")
     events = table(spark, folder, "events")
     turn = F.when(F.col("event_type") == "click", 2).when(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"), 0).otherwise(1)
-    aggregates = [
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
-    ]
+    totals = stateful.Totals(
+        event_time="ts",
+        width="1 hour",
+        lateness="1 day",
+        keys=["event_type"],
+        aggregates=[
+            F.count(F.lit(1)).alias("n_events"),
+            F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+        ],
+    )
     for delivery in range(3):
         events.where(F.coalesce(turn, F.lit(1)) == delivery).write.mode("append").parquet(f"{root}/landing")
-        ingest.replace_touched_days(
+        stateful.refresh_totals(
             ingest.read_files(spark, f"{root}/landing", events.schema),
-            "ts",
+            totals,
             lambda: spark.read.schema(events.schema).parquet(f"{root}/landing"),
-            lambda rows: ingest.windowed_totals(rows, "ts", "1 hour", ["day", "event_type"], aggregates),
             f"{root}/totals",
             f"{root}/checkpoint",
         )
@@ -70,6 +77,19 @@ def stream_dedupe(spark, folder):
     return spark.read.schema(events.schema).parquet(f"{root}/kept")
 
 
+@query("stream_dedupe_within", "SELECT * FROM events")
+def stream_dedupe_within(spark, folder):
+    """As ``stream_dedupe``, with keys in state for two days of event time; the first delivery is the later half."""
+    root = work_dir(spark, "dedupe")
+    events = table(spark, folder, "events")
+    later = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for delivery in [events.where(later), events.where(F.col("event_type").isin("purchase", "error")), events]:
+        delivery.write.mode("append").parquet(f"{root}/landing")
+        rows = ingest.read_files(spark, f"{root}/landing", events.schema)
+        stateful.keep_first_within(rows, ["event_id"], "ts", dt.timedelta(days=2), f"{root}/kept", f"{root}/checkpoint")
+    return stateful.first_arrivals(events, f"{root}/kept")
+
+
 @query(
     "stream_microbatch",
     "SELECT *, CAST(ts AS DATE) AS day FROM events QUALIFY row_number() OVER "

@@ -6,7 +6,9 @@ is run again after a failure leaves the same result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from periodica.operators import snapshot
-from periodica.operators.joins import rows_without
 from periodica.plans.tables import overwrite_partitions, remove_steps, remove_versions_before
 
 
@@ -63,27 +64,53 @@ def windowed_totals(rows: DataFrame, event_time: str, width: str, keys: Sequence
     )
 
 
-def keep_first(rows: DataFrame, keys: Sequence[str], output: str, checkpoint: str, taken_in: str = "taken_in") -> None:
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, of which a batch reads the keys it has rows for.
+
+    The checkpoint remembers the choice, and only what changed is added to it with each batch.
+    """
+    store = "spark.sql.streaming.stateStore."
+    wanted = {
+        f"{store}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        f"{store}rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def keep_first(rows: DataFrame, keys: Sequence[str], output: str, checkpoint: str) -> None:
     """Append the first arrival per key to the output, however late it or its copies come.
 
-    Every batch has its own partition of the output and is held against the keys of earlier batches
-    only, so running a batch twice leaves the same keys.
+    All keys taken are state, spread over as many tasks as the first run has shuffle partitions; what was
+    kept is never read again. ``stateful.keep_first_within`` bounds the state by event time.
     """
+    with state_in_rocksdb(rows.sparkSession):
+        query = (
+            rows.dropDuplicates(list(keys))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(output)
+        )
+    run_to_end(query)
 
-    def take(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(list(keys))
-        if batch_id > 0:
-            layout = T.StructType([*batch.schema.fields, T.StructField(taken_in, T.LongType())])
-            taken = batch.sparkSession.read.schema(layout).parquet(output).where(F.col(taken_in) < batch_id)
-            fresh = rows_without(fresh, taken, keys)
-        overwrite_partitions(fresh.withColumn(taken_in, F.lit(batch_id).cast("long")), output, [taken_in])
 
-    run_to_end(
-        rows.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def rows_of_days(rows: DataFrame, event_time: str, days: Sequence[dt.date]) -> DataFrame:
+    """Rows of the given days, with bounds on the time itself that a Parquet scan can push down."""
+    kind = rows.schema[event_time].dataType
+    start, end = F.lit(min(days)).cast(kind), F.lit(max(days) + dt.timedelta(days=1)).cast(kind)
+    moment = F.col(event_time)
+    return rows.where((moment >= start) & (moment < end) & F.to_date(event_time).isin(list(days)))
 
 
 def replace_touched_days(
@@ -102,9 +129,12 @@ def replace_touched_days(
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(F.to_date(event_time).alias(day)).distinct()
-        slices = source().withColumn(day, F.to_date(event_time)).join(touched, day, "left_semi")
-        overwrite_partitions(model(slices), output, [day])
+        # One row per day; as literals they reach the scan, which skips files and row groups of other days.
+        touched = batch.select(F.to_date(event_time).alias(day)).where(F.col(day).isNotNull()).distinct()
+        days = sorted(r[day] for r in touched.collect())
+        if days:
+            slices = rows_of_days(source(), event_time, days).withColumn(day, F.to_date(event_time))
+            overwrite_partitions(model(slices), output, [day])
 
     run_to_end(
         arrivals.writeStream.foreachBatch(replace)
