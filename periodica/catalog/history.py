@@ -14,6 +14,7 @@ from periodica.catalog.bindings import TARGET_END, restated, with_sql
 from periodica.catalog.registry import query
 from periodica.functions.scalars import canonical_time, version_hash
 from periodica.operators.snapshot import SnapshotConfig, apply, initial
+from periodica.plans import history as stored
 from periodica.plans.tables import replace_folder
 from periodica.session import table, work_dir
 
@@ -76,6 +77,8 @@ def _row(status: str, price: str, upd: str, valid_to: str, where: str, extra: st
 
 
 NO_END = "CAST(NULL AS TIMESTAMP)"
+NO_CLERK = ", CAST(NULL AS VARCHAR) AS o_clerk"
+CLERK = ", 'clerk ' || o_orderpriority AS o_clerk"
 
 
 def two_days(open_end: str, gone_end: str, extra: str = "") -> str:
@@ -152,6 +155,41 @@ def scd2_new_record(spark, folder):
     return apply(history, day1(spark, folder), config, NOW[3])
 
 
+@query("snapshot_run", with_sql(DAYS, _four_days()))
+def snapshot_run(spark, folder):
+    """The runs of ``scd2_new_record`` over stored rows: closed versions are added, open rows replaced by bucket."""
+    config = _config(hard_deletes="new_record")
+    root = work_dir(spark, "snapshot")
+    days = [day0(spark, folder), day1(spark, folder), day2(spark, folder), day1(spark, folder)]
+    for run, (now, source) in enumerate(zip(NOW, days)):
+        stored.advance(source, config, now, root, run, buckets=8)
+    return stored.history(spark, root)
+
+
+@query(
+    "snapshot_run_columns",
+    with_sql(
+        DAYS,
+        "\nUNION ALL ".join(
+            [
+                _row("o_orderstatus", "o_totalprice", "o_orderdate", NO_END, "early AND NOT pending", NO_CLERK),
+                _row("o_orderstatus", "o_totalprice", "o_orderdate", "upd1", "early AND pending", NO_CLERK),
+                _row("status1", "price1", "upd1", NO_END, "early AND pending", CLERK),
+                _row("status1", "price1", "upd1", NO_END, "NOT early AND NOT withdrawn", CLERK),
+            ]
+        ),
+    ),
+)
+def snapshot_run_columns(spark, folder):
+    """A stored history to which the second run adds a column; it is run twice, as after a failure."""
+    root = work_dir(spark, "snapshot")
+    source = day1(spark, folder).withColumn("o_clerk", F.concat(F.lit("clerk "), "o_orderpriority"))
+    stored.advance(day0(spark, folder), _config(), NOW[0], root, 0, buckets=8)
+    for _ in range(2):
+        stored.advance(source, _config(), NOW[1], root, 1)
+    return stored.history(spark, root)
+
+
 def _check_row(status: str, price: str, upd: str, now: str, valid_to: str, where: str) -> str:
     return (
         f"SELECT o_orderkey, {status} AS o_orderstatus, {price} AS o_totalprice, o_orderpriority, {upd} AS updated_at, "
@@ -181,10 +219,6 @@ def scd2_check(spark, folder):
     return _after_day1(spark, folder, config)
 
 
-NO_CLERK = ", CAST(NULL AS VARCHAR) AS o_clerk"
-CLERK = ", 'clerk ' || o_orderpriority AS o_clerk"
-
-
 @query(
     "scd2_new_column",
     with_sql(

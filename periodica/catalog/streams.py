@@ -11,6 +11,7 @@ from periodica.catalog.bindings import with_sql
 from periodica.catalog.registry import query
 from periodica.operators.dedupe import keep_latest
 from periodica.operators.snapshot import SnapshotConfig
+from periodica.plans import history as stored
 from periodica.session import table, work_dir
 from periodica.streaming import ingest, stateful
 
@@ -125,5 +126,5 @@ def stream_scd2(spark, folder):
         arriving = rows.withColumn("run_time", F.lit(now).cast("timestamp_ntz"))
         arriving.write.mode("append").parquet(f"{root}/landing")
         stream = ingest.read_files(spark, f"{root}/landing", arriving.schema)
-        ingest.stream_history(stream, config, "run_time", f"{root}/versions", f"{root}/checkpoint")
-    return ingest.latest_version(spark, f"{root}/versions")
+        ingest.stream_stored_history(stream, config, "run_time", f"{root}/history", f"{root}/checkpoint", buckets=8)
+    return stored.history(spark, f"{root}/history")

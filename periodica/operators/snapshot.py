@@ -2,7 +2,8 @@
 
 A run meets the open rows of the history with the current source in one join per key; each pair
 then yields the rows it leaves behind (kept, closed, opened, tombstone). Closed rows are passed
-through without a shuffle.
+through without a shuffle. ``changes`` gives only the rows that a run changes, for histories kept
+in two stores (``plans.history``).
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.scalars import all_known, all_of, any_of, canonical_time, version_hash
-from periodica.operators.joins import KEY, key_of, rows_with, rows_without, unique_keys
+from periodica.operators.joins import KEY, key_of, new_rows, rows_with, rows_without, unique_keys
 from periodica.operators.schema import find, typed_null
 
 logger = logging.getLogger(__name__)
 
+# What a run does with a row, as ``changes`` marks it.
+KIND = "_kind"
+KEPT, CLOSED, OPENED, FLAGGED = "kept", "closed", "opened", "flagged"
+
 
 @dataclass(frozen=True)
 class MetaNames:
@@ -118,29 +123,30 @@ def _changed(cfg: SnapshotConfig, columns: Sequence[str], held: Sequence[str]) -
     return any_of(*[~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in checked])
 
 
-def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
-    """The history after one more run. Keys are unique in the source and among open rows.
-
-    Source columns are matched to the history's without regard to case and take its spelling.
-    """
+def _aligned(history: DataFrame, source: DataFrame, cfg: SnapshotConfig) -> tuple[DataFrame, DataFrame]:
+    """History with the source's new columns, and source with the history's spelling of names."""
     n = cfg.names
     matched = [find(history.schema, c) for c in source.columns]
     source = source.toDF(*[m.name if m else c for m, c in zip(matched, source.columns)])
-    moment = _moment(now)
-    held = list(history.columns)
     added = [f for f in source.schema if not find(history.schema, f.name)]
+    held = history.columns
     history = history.select("*", *[typed_null(f.dataType, f.name) for f in added])
     if cfg.tombstones and n.is_deleted not in held:
         history = history.withColumn(n.is_deleted, F.lit("False"))
-    layout = history.schema
+    return history, source
 
-    closed = history.where(~_is_open(cfg))
-    open_rows = history.where(_is_open(cfg))
-    fresh = source.withColumn(n.scd_id, _version_id(source, cfg, now)).withColumn(
-        n.updated_at, _version_time(cfg, now)
-    )
 
-    pairs = _pair(open_rows, _mark_seen(fresh, closed, cfg), cfg.keys)
+def _versioned(source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
+    versioned = source.withColumn(cfg.names.scd_id, _version_id(source, cfg, now))
+    return versioned.withColumn(cfg.names.updated_at, _version_time(cfg, now))
+
+
+def _outcome(
+    layout: T.StructType, source: DataFrame, held: Sequence[str], cfg: SnapshotConfig, now, mark: bool = False
+) -> Column:
+    """The rows that a pair (_old, _new) leaves behind, with ``mark`` as (KIND, layout)."""
+    n = cfg.names
+    moment = _moment(now)
     old, new = F.col("_old"), F.col("_new")
     both = old.isNotNull() & new.isNotNull()
     # A NULL comparison (no update time) counts as unchanged.
@@ -148,23 +154,22 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
     if cfg.tombstones:
         differs = differs | F.coalesce(F.col(f"_old.{n.is_deleted}") == "True", F.lit(False))
 
-    def row(origin: str, overrides: dict[str, Column]) -> Column:
-        return F.struct(
-            *[
-                overrides.get(f.name, F.col(f"{origin}.{f.name}")).cast(f.dataType).alias(f.name)
-                for f in layout
-            ]
-        )
+    def row(origin: str, kind: str, overrides: dict[str, Column]) -> Column:
+        cells = [
+            overrides.get(f.name, F.col(f"{origin}.{f.name}")).cast(f.dataType).alias(f.name) for f in layout
+        ]
+        return F.struct(*[F.lit(kind).alias(KIND), *cells] if mark else cells)
 
     start = {n.valid_from: F.col(f"_new.{n.updated_at}"), n.valid_to: _open_value(cfg), n.is_deleted: F.lit("False")}
-    absent = {f.name: F.lit(None) for f in layout if f.name not in fresh.columns}
-    opened = F.array(row("_new", {**absent, **start}))
-    kept = F.array(row("_old", {}))
-    superseded = F.array(row("_old", {n.valid_to: F.col(f"_new.{n.updated_at}")}))
+    given = {*source.columns, n.scd_id, n.updated_at}
+    absent = {f.name: F.lit(None) for f in layout if f.name not in given}
+    opened = F.array(row("_new", OPENED, {**absent, **start}))
+    kept = F.array(row("_old", KEPT, {}))
+    superseded = F.array(row("_old", CLOSED, {n.valid_to: F.col(f"_new.{n.updated_at}")}))
 
     vanished = kept
     if cfg.hard_deletes != "ignore":
-        vanished = F.array(row("_old", {n.valid_to: moment}))
+        vanished = F.array(row("_old", CLOSED, {n.valid_to: moment}))
     if cfg.tombstones:
         flagged = {
             n.valid_from: moment,
@@ -173,21 +178,62 @@ def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> Da
             n.is_deleted: F.lit("True"),
         }
         vanished = F.when(F.col(f"_old.{n.is_deleted}") == "True", kept).otherwise(
-            F.concat(vanished, F.array(row("_old", flagged)))
+            F.concat(vanished, F.array(row("_old", FLAGGED, flagged)))
         )
 
     is_changed = both & differs
-    known = F.col("_new._seen") | F.col(f"_old.{n.scd_id}").eqNullSafe(F.col(f"_new.{n.scd_id}"))
+    known = F.col(f"_old.{n.scd_id}").eqNullSafe(F.col(f"_new.{n.scd_id}"))
+    if not mark:
+        known = known | F.col("_new._seen")
     starting = F.when(known, F.slice(opened, 1, 0)).otherwise(opened)
-    outcome = (
+    return (
         F.when(old.isNull(), starting)
         .when(new.isNull(), vanished)
         .when(is_changed, F.concat(superseded, starting))
         .otherwise(kept)
     )
+
+
+def apply(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
+    """The history after one more run. Keys are unique in the source and among open rows.
+
+    Source columns are matched to the history's without regard to case and take its spelling.
+    """
+    held = list(history.columns)
+    history, source = _aligned(history, source, cfg)
+    closed = history.where(~_is_open(cfg))
+    open_rows = history.where(_is_open(cfg))
+    fresh = _mark_seen(_versioned(source, cfg, now), closed, cfg)
+    pair = _pair_given if cfg.hard_deletes == "ignore" else _pair
+    pairs = pair(open_rows, fresh, cfg.keys)
+    outcome = _outcome(history.schema, source, held, cfg, now)
     return closed.unionByName(pairs.select(F.inline(outcome)))
 
 
+def changes(open_rows: DataFrame, closed_ids: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
+    """What one more run changes, for a history whose open and closed rows are kept apart.
+
+    ``closed_ids`` has the version ids of all closed rows. The result has the history's columns and KIND: CLOSED
+    for open rows that are to be replaced by these closed ones (same version id), OPENED and FLAGGED for new open
+    rows. Rows that stay as they are do not occur. With ``hard_deletes`` 'ignore' open rows without a source row
+    are only looked at by key, and not moved when the source is small.
+    """
+    n = cfg.names
+    held = list(open_rows.columns)
+    open_rows, source = _aligned(open_rows, source, cfg)
+    layout = open_rows.schema
+    fresh = _versioned(source, cfg, now)
+    if cfg.hard_deletes == "ignore":
+        open_rows = rows_with(open_rows, fresh, cfg.keys)
+    marked = _pair(open_rows, fresh, cfg.keys).select(F.inline(_outcome(layout, source, held, cfg, now, mark=True)))
+    marked = marked.where(F.col(KIND) != KEPT)
+    if cfg.versions_unique:
+        return marked
+    # A version that is already there, closed, is not opened again.
+    there = rows_with(closed_ids, fresh, [n.scd_id])
+    return rows_without(marked, there, [n.scd_id], F.col(KIND) == OPENED)
+
+
 def _mark_seen(fresh: DataFrame, closed: DataFrame, cfg: SnapshotConfig) -> DataFrame:
     """Flag source rows whose version is already in the history, closed.
 
@@ -226,6 +272,15 @@ def _pair(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
+def _pair_given(open_rows: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_pair`` by a left join, for a source that may be small: then no open row is moved."""
+    given = fresh.where(all_known(keys)).select(key_of(keys).alias(KEY), F.struct(*fresh.columns).alias("_new"))
+    old_side = open_rows.select(key_of(keys).alias("_key"), F.struct(*open_rows.columns).alias("_old"))
+    met = old_side.join(given, F.col("_key") == F.col(KEY), "left").select("_old", "_new")
+    lone = new_rows(fresh, open_rows, keys).select(F.struct(*fresh.columns).alias("_new"))
+    return met.unionByName(lone, allowMissingColumns=True)
+
+
 def vanished_keys(history: DataFrame, source: DataFrame, cfg: SnapshotConfig) -> DataFrame:
     """Open rows whose key the source no longer has."""
     return rows_without(history.where(_is_open(cfg)), source, cfg.keys)

@@ -60,8 +60,8 @@ def location(spark: SparkSession, name: str) -> str:
 
 
 def partitions_of(rows: DataFrame, partition_by: Sequence[str]) -> set[Row]:
-    """The partitions that ``rows`` fall into."""
-    return set(rows.select(*partition_by).distinct().collect())
+    """The partitions that ``rows`` fall into; sets of them are merged, and one row leaves the aggregate."""
+    return set(rows.agg(F.collect_set(F.struct(*partition_by)).alias("found")).first()["found"])
 
 
 def in_partitions(schema: T.StructType, partition_by: Sequence[str], wanted: set[Row]) -> Column:

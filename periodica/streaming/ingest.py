@@ -16,8 +16,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from periodica.operators import snapshot
+from periodica.plans import history as stored
+from periodica.plans.partitioned import partitions_of
 from periodica.plans.tables import overwrite_partitions, remove_steps, remove_versions_before
 
+# Numbers of runs set aside for one batch.
+RUNS_IN_BATCH = 1_000_000
+
 
 def as_pattern(path: str) -> str:
     """Path as a glob, so that one file and a folder of files stream alike."""
@@ -68,12 +73,15 @@ def windowed_totals(rows: DataFrame, event_time: str, width: str, keys: Sequence
 def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
     """Streams started inside keep their state in RocksDB, of which a batch reads the keys it has rows for.
 
-    The checkpoint remembers the choice, and only what changed is added to it with each batch.
+    The checkpoint remembers the choice, and only what changed is added to it with each batch. Old state is
+    removed by the next batch with rows, not by one of its own.
     """
     store = "spark.sql.streaming.stateStore."
     wanted = {
         f"{store}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         f"{store}rocksdb.changelogCheckpointing.enabled": "true",
+        f"{store}rocksdb.trackTotalNumberOfRows": "false",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
@@ -129,9 +137,9 @@ def replace_touched_days(
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        # One row per day; as literals they reach the scan, which skips files and row groups of other days.
-        touched = batch.select(F.to_date(event_time).alias(day)).where(F.col(day).isNotNull()).distinct()
-        days = sorted(r[day] for r in touched.collect())
+        # As literals the days reach the scan, which skips files and row groups of other days.
+        touched = batch.select(F.to_date(event_time).alias(day)).where(F.col(day).isNotNull())
+        days = sorted(r[day] for r in partitions_of(touched, [day]))
         if days:
             slices = rows_of_days(source(), event_time, days).withColumn(day, F.to_date(event_time))
             overwrite_partitions(model(slices), output, [day])
@@ -144,6 +152,49 @@ def replace_touched_days(
     )
 
 
+def run_times(batch: DataFrame, now_column: str) -> list[dt.datetime]:
+    """Times of the runs in a batch, in order: one row per run, not per source row."""
+    times = [r[0] for r in batch.select(now_column).distinct().orderBy(now_column).toLocalIterator()]
+    if None in times:
+        raise ValueError(f"rows without a run time in {now_column}")
+    return times
+
+
+def rows_of_run(batch: DataFrame, now_column: str, now, config: snapshot.SnapshotConfig) -> DataFrame:
+    source = batch.where(F.col(now_column) == F.lit(now)).drop(now_column)
+    if not source.groupBy(*config.keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"the run of {now} holds a key more than once")
+    return source
+
+
+def stream_stored_history(
+    arrivals: DataFrame,
+    config: snapshot.SnapshotConfig,
+    now_column: str,
+    root: str,
+    checkpoint: str,
+    buckets: int = 32,
+) -> None:
+    """Apply each arriving run of source rows to a history in two stores (see ``plans.history``).
+
+    A batch writes what its runs change: closed versions are added, open rows replaced in the buckets
+    concerned. Runs are numbered by batch and time, so runs of a repeated batch that are done are left out and one
+    that was under way is finished. All rows of one run carry the same time and arrive in one batch. A key that a run holds twice, or a missing run time, is an error.
+    """
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        for step, now in enumerate(run_times(batch, now_column)):
+            source = rows_of_run(batch, now_column, now, config)
+            stored.advance(source, config, now, root, batch_id * RUNS_IN_BATCH + step, buckets)
+
+    run_to_end(
+        arrivals.writeStream.foreachBatch(advance)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def version_path(root: str, batch_id: int) -> str:
     return f"{root}/version={batch_id:012d}"
 
@@ -161,15 +212,10 @@ def stream_history(
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # One row per run, not per source row.
-        times = [r[0] for r in batch.select(now_column).distinct().orderBy(now_column).toLocalIterator()]
-        if None in times:
-            raise ValueError(f"rows without a run time in {now_column}")
+        times = run_times(batch, now_column)
         history = spark.read.parquet(version_path(root, batch_id - 1)) if batch_id else None
         for step, now in enumerate(times):
-            source = batch.where(F.col(now_column) == F.lit(now)).drop(now_column)
-            if not source.groupBy(*config.keys).count().where("count > 1").isEmpty():
-                raise ValueError(f"the run of {now} holds a key more than once")
+            source = rows_of_run(batch, now_column, now, config)
             history = snapshot.apply(history, source, config, now) if history else snapshot.initial(source, config, now)
             if step < len(times) - 1:
                 path = f"{root}/_steps/{batch_id:012d}-{step:06d}"

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from periodica.operators.joins import KEY
-from periodica.plans.partitioned import evenly
+from periodica.plans.partitioned import evenly, partitions_of
 from periodica.plans.tables import overwrite_partitions
 from periodica.streaming.ingest import rows_of_days, run_to_end, state_in_rocksdb
 
@@ -117,27 +117,26 @@ def refresh_totals(
         """Days on which rows of these windows can lie; windows are not longer than a few days."""
         first = F.to_date(wall_time(F.col("_window.start"), kind))
         last = F.to_date(wall_time(F.col("_window.end") - F.expr("INTERVAL 1 MICROSECOND"), kind))
-        days = windows.select(F.explode(F.sequence(first, last)).alias("d")).distinct()
-        return sorted(r.d for r in days.collect())
+        days = windows.select(F.explode(F.sequence(first, last)).alias(DAY))
+        return sorted(r[DAY] for r in partitions_of(days, [DAY]))
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        settled = batch.groupBy(*place).agg(F.any_value("_total", F.lit(True)).alias("_total")).persist()
         try:
-            changed = batch.where("_total IS NOT NULL").select(*place, "_total.*")
-            passed = batch.where("_total IS NULL").select(*place).distinct()
-            missed = _not_in(passed, changed, place)
+            changed = settled.where("_total IS NOT NULL").select(*place, "_total.*")
+            missed = settled.where("_total IS NULL").select(*place)
             days = window_range(missed)
             if days:
                 again = rows_of_days(source(), totals.event_time, days)
                 changed = changed.unionByName(_only_in(totals.windowed(again), missed, place))
-            changed = totals.laid_out(changed, kind).persist()
-            upsert(changed)
+            changed = totals.laid_out(changed, kind)
+            upsert(changed.persist() if days else changed)
             changed.unpersist()
         finally:
-            batch.unpersist()
+            settled.unpersist()
 
     def upsert(changed: DataFrame) -> None:
-        touched = [r[DAY] for r in changed.select(DAY).distinct().collect()]
+        touched = [r[DAY] for r in partitions_of(changed, [DAY])]
         if touched:
             held = spark.read.schema(layout).parquet(output).where(F.col(DAY).isin(touched))
             kept = _not_in(held, changed, ["window_start", *totals.keys])
@@ -198,7 +197,8 @@ def keep_first_within(
             rest = _not_in(batch.where("NOT _fresh").drop("_fresh"), first, keys).dropDuplicates(list(keys))
             rest = rest.withColumn(DAY, F.to_date(event_time))
             spread = F.sequence(F.date_sub(DAY, margin), F.date_add(DAY, margin))
-            near = [r.d for r in rest.where(f"{DAY} IS NOT NULL").select(F.explode(spread).alias("d")).distinct().collect()]
+            around = rest.where(f"{DAY} IS NOT NULL").select(F.explode(spread).alias(DAY))
+            near = [r[DAY] for r in partitions_of(around, [DAY])]
             held = spark.read.schema(layout).parquet(output).where(F.col(taken_in) < batch_id)
             held = held.where(F.col(DAY).isin(near) | F.col(DAY).isNull())
             late = _not_in(rest, held, keys)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from periodica.operators import checks, incremental, joins
 from periodica.operators.dedupe import attach_latest, keep_latest
 from periodica.operators.series import add_metrics
-from periodica.operators.snapshot import SnapshotConfig, apply, initial
+from periodica.operators.snapshot import SnapshotConfig, apply, changes, initial
 
 PACKAGE = Path(__file__).resolve().parents[1] / "periodica"
 
@@ -54,12 +54,28 @@ def test_small_source_does_not_shuffle_the_target(orders):
 
 
 def test_history_passes_closed_rows_through(orders):
-    cfg = SnapshotConfig(keys=["id"], updated_at="ts")
+    cfg = SnapshotConfig(keys=["id"], updated_at="ts", hard_deletes="invalidate")
     history = initial(orders, cfg, "2025-01-01")
     text = plan(apply(history, orders, cfg, "2025-01-02"))
     assert text.count("FullOuter") == 1
 
 
+def test_small_source_moves_no_open_row(orders, tmp_path):
+    """Where nothing can vanish, neither the whole history nor its changes shuffle the open rows."""
+    cfg = SnapshotConfig(keys=["id"], updated_at="ts", versions_unique=True)
+    path = str(tmp_path / "h")
+    initial(orders, cfg, "2025-01-01").write.parquet(path)
+    history = orders.sparkSession.read.parquet(path)
+    source = orders.where("id < 4")
+    for result in (apply(history, source, cfg, "2025-01-02"), changes(history, history.limit(0), source, cfg, "2025-01-02")):
+        result.count()
+        text = plan(result.select("v", "unused"))
+        # Rows of the history have ``scd_id``; below an exchange they may only be scanned for their keys.
+        for below in re.split(r"Exchange hashpartitioning", text)[1:]:
+            assert "valid_from" not in below.split("\n")[0]
+        assert "BroadcastHashJoin" in text
+
+
 def test_not_null_checks_share_one_scan(orders):
     text = plan(checks.aggregated_not_null(orders, ["id", "k", "v"]))
     assert text.count("FileScan") == 1 and "Exchange" not in text
