@@ -36,6 +36,13 @@ def merge_upsert(spark, folder):
     return incremental.merge(orders_target(spark, folder), orders_source(spark, folder), ["o_orderkey"])
 
 
+@query("merge_one_pass", with_sql(TARGET_SOURCE, f"{UNMATCHED} UNION ALL SELECT * FROM src"))
+def merge_one_pass(spark, folder):
+    """The merge of ``merge_upsert`` in one join, for a source of the target's size."""
+    target, source = orders_target(spark, folder), orders_source(spark, folder)
+    return incremental.merge(target, source, ["o_orderkey"], one_pass=True)
+
+
 @query(
     "merge_update_columns",
     with_sql(

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from periodica.functions.scalars import all_known
 from periodica.operators.joins import KEY, key_of, new_rows, rows_without
@@ -50,15 +51,21 @@ def merge(
     only: Sequence[str] | None = None,
     exclude: Sequence[str] | None = None,
     predicate: Column | None = None,
+    one_pass: bool = False,
 ) -> DataFrame:
     """Update matched target rows and insert the rest of the source.
 
     Without keys it is a plain insert. ``predicate`` is over target columns and part of the match:
     a target row it rejects is left alone and the source row is inserted beside it. A target row
     that matches several source rows raises an error when the result is computed.
+
+    ``one_pass`` is for a source about as large as the target: target and source are shuffled once and
+    meet in one join. It cannot split the rows of one key, of which the target should have few.
     """
     if not keys:
         return append(target, source)
+    if one_pass:
+        return _merge_in_one_pass(target, source, keys, only, exclude, predicate)
     names = source.columns
     matched_names = {c.lower() for c in update_columns(names, only, exclude)}
     eligible = predicate if predicate is not None else F.lit(True)
@@ -72,12 +79,7 @@ def merge(
     )
     marked = target.withColumn("_eligible", F.coalesce(eligible, F.lit(False)))
     joined = marked.join(packed, F.col("_eligible") & (key_of(keys) == F.col(KEY)), "left")
-    is_match = (
-        F.when(F.col("_copies").isNull(), F.lit(False))
-        .when(F.col("_copies") == 1, F.lit(True))
-        .otherwise(F.raise_error(F.lit("a target row matches several source rows")).cast("boolean"))
-    )
-    updated = joined.withColumn("_match", is_match).select(
+    updated = joined.withColumn("_match", _only_match(F.col("_copies").isNotNull(), F.col("_copies"))).select(
         *[
             F.when(F.col("_match"), F.col("_source")[find(source.schema, f.name).name].cast(f.dataType))
             .otherwise(F.col(f.name))
@@ -91,6 +93,53 @@ def merge(
     return updated.unionByName(align(new_rows(source, held, keys), target))
 
 
+def _only_match(met: Column, copies: Column) -> Column:
+    """``met``, or an error where a target row has met one of several source rows of its key."""
+    several = F.raise_error(F.lit("a target row matches several source rows")).cast("boolean")
+    return F.when(~met, F.lit(False)).when(copies == 1, F.lit(True)).otherwise(several)
+
+
+def _merge_in_one_pass(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    only: Sequence[str] | None,
+    exclude: Sequence[str] | None,
+    predicate: Column | None,
+) -> DataFrame:
+    """One full outer join on the key, whose shuffle of the source also counts the copies of a key.
+
+    Presence flags tell the three cases apart: matched, only in the target, only in the source. Rows that
+    cannot match (a NULL in the key, or rejected by the predicate) do not take part.
+    """
+    matched_names = {c.lower() for c in update_columns(source.columns, only, exclude)}
+    eligible = F.coalesce(predicate, F.lit(False)) if predicate is not None else F.lit(True)
+    able = all_known(keys) & eligible
+    on = [f"_key_{i}" for i in range(len(keys))]
+    # Both sides in the target's key types: the window and the join then share the source's shuffle.
+    kinds = [find(target.schema, k).dataType for k in keys]
+
+    def keyed(rows: DataFrame, packed: str) -> DataFrame:
+        cells = [F.col(k).cast(t).alias(o) for k, t, o in zip(keys, kinds, on, strict=True)]
+        return rows.select(F.struct(*rows.columns).alias(packed), *cells)
+
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*on))
+    given = keyed(source.where(all_known(keys)), "_source").withColumn("_copies", copies)
+    met = keyed(target.where(able), "_target").join(given, on, "full_outer")
+    held, brought = F.col("_target").isNotNull(), F.col("_source").isNotNull()
+    met = met.withColumn("_match", _only_match(held & brought, F.col("_copies")))
+
+    def cell(field: T.StructField) -> Column:
+        known = find(source.schema, field.name)
+        new = F.col("_source")[known.name].cast(field.dataType) if known else F.lit(None).cast(field.dataType)
+        taken = (~held | F.col("_match")) if field.name.lower() in matched_names and known else ~held
+        return F.when(taken, new).otherwise(F.col("_target")[field.name]).alias(field.name)
+
+    result = met.select(*[cell(f) for f in target.schema])
+    untouched = target.where(~F.coalesce(able, F.lit(False)))
+    return result.unionByName(untouched).unionByName(align(source.where(~all_known(keys)), target))
+
+
 def delete_insert(
     target: DataFrame, source: DataFrame, keys: Sequence[str] | None, predicate: Column | None = None
 ) -> DataFrame:

@@ -158,3 +158,27 @@ def test_conform_typed_nulls_empty(spark, versions):
     assert [t for _, t in nulls.dtypes] == ["decimal(28,6)", "timestamp_ntz"]
     empty = schema.empty_like(v1)
     assert empty.dtypes == v1.dtypes and empty.count() == 0
+
+
+@pytest.mark.parametrize(
+    ("options", "condition"),
+    [({}, None), ({"only": ["B"]}, None), ({"exclude": ["b"]}, None), ({}, "b > 2.2"), ({"only": ["a"]}, "a IS NULL OR b < 2.2")],
+)
+def test_merge_in_one_pass_is_the_merge(target, source, rows, options, condition):
+    if condition:
+        options = {**options, "predicate": F.expr(condition)}
+    more = source.unionByName(source.sparkSession.createDataFrame([(7, "x", 1.0), (7, "y", 2.0)], source.schema))
+    for data in (source, more, source.limit(0), source.drop("a") if "a" not in options.get("only", []) else source):
+        want = rows(inc.merge(target, data, ["K"], **options))
+        assert rows(inc.merge(target, data, ["K"], one_pass=True, **options)) == want
+
+
+def test_merge_in_one_pass_finds_ambiguous_matches(target, source):
+    twice = source.unionByName(source)
+    with pytest.raises(Exception, match="several source rows"):
+        inc.merge(target, twice, ["k"], one_pass=True).collect()
+
+
+def test_merge_in_one_pass_casts_keys_to_those_of_the_target(target, source, rows):
+    text = source.withColumn("k", F.col("k").cast("string"))
+    assert rows(inc.merge(target, text, ["k"], one_pass=True)) == rows(inc.merge(target, source, ["k"]))

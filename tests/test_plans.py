@@ -53,6 +53,11 @@ def test_small_source_does_not_shuffle_the_target(orders):
     assert text.count("BroadcastHashJoin") >= 2
 
 
+def test_merge_in_one_pass_shuffles_each_side_once(spark, orders, tight):
+    merged = incremental.merge(orders, orders.where("k < 40"), ["id"], one_pass=True)
+    assert exchanges(merged) == 2 and plan(merged).count("FullOuter") == 1
+
+
 def test_history_passes_closed_rows_through(orders):
     cfg = SnapshotConfig(keys=["id"], updated_at="ts", hard_deletes="invalidate")
     history = initial(orders, cfg, "2025-01-01")
