@@ -47,7 +47,7 @@ def write_releases(spark, folder) -> str:
 
 
 def scanned(spark, folder) -> DataFrame:
-    rows = files.scan_csv(spark, write_releases(spark, folder), files.RELEASE_SCHEMA, "*.csv")
+    rows = files.scan_csv(spark, write_releases(spark, folder), files.RELEASE_SCHEMA, "*.csv", one_layout=True)
     return rows.withColumn("release", F.regexp_extract("file_path", "/release=([^/]+)/", 1))
 
 
@@ -67,6 +67,32 @@ def scan_csv_glob(spark, folder):
     return scanned(spark, folder).drop("file_path", "file_name")
 
 
+@query(
+    "scan_csv_by_name",
+    with_sql(
+        RAW_FACTS,
+        f"""SELECT manufacturer AS "Manufacturer", frequency AS "Frequency", month AS "Month",
+       format('{{:,}}', CAST(units AS BIGINT)) AS "Units",
+       CASE WHEN month(release_month) % 3 <> 1 THEN region END AS "Region", pdf AS "PDF", {RELEASE_NAME} AS release
+FROM raw_facts""",
+    ),
+)
+def scan_csv_by_name(spark, folder):
+    """Every third release has its columns in another order and case, every third lacks the region and has a note."""
+    root = work_dir(spark, "layouts")
+    rows = scanned(spark, folder).drop("file_path", "file_name")
+    turn = F.month(files.period_from_name("release")) % 3
+    reordered = [F.col("PDF").alias("pdf"), "Units", F.col("Region").alias("REGION"), "Month", "Frequency", "Manufacturer"]
+    layouts = [["Manufacturer", "Frequency", "Month", "Units", "Region", "PDF"]]
+    layouts += [[F.lit("a, note").alias("Note"), "Manufacturer", "Month", "Frequency", "PDF", "Units"], reordered]
+    for number, columns in enumerate(layouts):
+        some = rows.where(turn == number).select(*columns, "release")
+        some.write.mode("append").partitionBy("release").option("header", True).csv(f"{root}/csv")
+    read = files.scan_csv(spark, f"{root}/csv", files.RELEASE_SCHEMA, "*.csv")
+    read = read.withColumn("release", F.regexp_extract("file_path", "/release=([^/]+)/", 1))
+    return read.drop("file_path", "file_name")
+
+
 @query(
     "load_raw",
     with_sql(
@@ -259,8 +285,67 @@ def fallback_source(spark, folder):
     lines = report_lines(spark, folder)
     lost = (F.year("m") < 1998) & F.col("line").startswith("New car")
     primary = parsed(lines.where(~lost).drop("m")).withColumn("source", F.lit("primary"))
-    secondary = parsed(lines.drop("m")).withColumn("source", F.lit("secondary"))
-    return files.with_fallback(primary, secondary, "doc")
+    primary = replace_folder(primary, f"{work_dir(spark, 'primary')}/records")
+    left = files.lines_without_records(lines.drop("m"), primary, "doc")
+    return primary.unionByName(parsed(left).withColumn("source", F.lit("secondary")))
+
+
+MONTHLY_RECORDS = f"""{AMOUNTS},
+monthly AS (
+  SELECT 'Press_release_' || strftime(m, '%B_%Y') || '.txt' AS file, manufacturer, frequency, month, region, pdf,
+         CAST(sum(amount) AS BIGINT) AS amount
+  FROM records GROUP BY ALL)"""
+
+
+def write_reports(spark, folder) -> str:
+    """One text file per month, all nations together, in a folder per year; the first line tells its name."""
+    lines = report_lines(spark, folder)
+    name = F.concat(F.lit("Press_release_"), F.date_format("m", "MMMM_yyyy"))
+    is_data = F.col("line").rlike("^[A-Z]+2? 12.3 11.9")
+    figures = F.split(F.regexp_replace("line", ",", ""), " ")
+    spent = F.transform(F.array(*[figures[i] for i in (3, 4, 8, 9)]), lambda v: v.cast("bigint"))
+    data = lines.where(is_data).select("m", "line_no", figures[0].alias("maker"), spent.alias("v"))
+    data = data.groupBy("m", "line_no", "maker").agg(*[F.format_number(F.sum(F.col("v")[i]), 0).alias(f"v{i}") for i in range(4)])
+    text = F.concat_ws(" ", "maker", F.lit("12.3 11.9"), "v0", "v1", F.lit("+4.1 10.0 9.8"), "v2", "v3", F.lit("-1.0"))
+    rows = data.select("m", "line_no", text.alias("line"))
+    rows = rows.unionByName(lines.where(~is_data).select("m", "line_no", "line").distinct())
+    # A file is the text of one month, bounded by the number of its makers and sections.
+    whole = rows.groupBy("m").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("lines"))
+    whole = whole.select(F.year("m").alias("year"), name.alias("release"), F.concat_ws("\n", "lines.line").alias("value"))
+    root = work_dir(spark, "reports")
+    whole.repartition("year").write.partitionBy("year", "release").text(root)
+    return root
+
+
+@query(
+    "file_discovery",
+    "SELECT 'year=' || year(o_orderdate) || '/release=Press_release_' || strftime(o_orderdate, '%B_%Y') AS folder, 1 AS n_files, "
+    "true AS sorted FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
+)
+def file_discovery(spark, folder):
+    """The report files found in nested folders, by path; their order is checked against their names."""
+    found = files.list_files(spark, write_reports(spark, folder), "*.txt")
+    placed = found.withColumn("place", F.monotonically_increasing_id())
+    before = F.lag("path").over(Window.partitionBy(F.regexp_extract("path", "(year=[0-9]+)/", 1)).orderBy("place"))
+    in_order = placed.withColumn("sorted", F.coalesce(before < F.col("path"), F.lit(True)))
+    return in_order.groupBy(F.regexp_extract("path", "(year=[^/]+/release=[^/]+)/", 1).alias("folder")).agg(
+        F.count(F.lit(1)).cast("int").alias("n_files"), F.every("sorted").alias("sorted")
+    )
+
+
+@query(
+    "parse_report_files",
+    with_sql(
+        MONTHLY_RECORDS, "SELECT file, manufacturer, frequency, month, format('{:,}', amount) AS units, region, pdf FROM monthly"
+    ),
+)
+def parse_report_files(spark, folder):
+    """Reports read from text files of the same name in nested folders, line by line with their byte positions."""
+    lines = files.scan_lines(spark, write_reports(spark, folder))
+    named = lines.withColumn("file", F.concat(F.regexp_extract("file_path", "/release=([^/]+)/", 1), F.lit(".txt")))
+    period = files.period_from_name("file")
+    year_header = F.concat_ws(" ", F.year("period"), F.year("period") - 1)
+    return parse_lines(named.withColumn("period", period), "file", "line_no", "line", "period", year_header, block=4 << 20)
 
 
 @query("explode_records", with_sql(AMOUNTS, f"SELECT {RECORD} FROM records"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,54 +27,96 @@ RELEASE_SCHEMA = T.StructType(
 )
 
 
+def _files_under(reader: DataFrameReader, name_glob: str) -> DataFrameReader:
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+
+
 def scan_csv(
-    spark: SparkSession, root: str, schema: T.StructType, name_glob: str = "Press_release*.csv"
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    name_glob: str = "Press_release*.csv",
+    one_layout: bool = False,
 ) -> DataFrame:
-    """All CSV files under ``root`` whose name matches, unioned, with the file's path and name.
+    """All CSV files under ``root`` whose name matches, unioned by column name, with the file's path and name.
 
-    Columns are taken by position from files that share one header order; the header is checked
-    against the schema.
+    A first pass takes the header line of every file. Files with the same header are one scan; the columns of
+    ``schema`` are found there without regard to case and order, a column that a file lacks is NULL, and
+    others are left out. ``one_layout`` spares that pass for files that all have exactly the columns of
+    ``schema`` in its order: another header is an error then.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name_glob)
+    if one_layout:
+        return _scan_layout(spark, root, name_glob, schema, schema, None)
+    layouts = csv_layouts(spark, root, name_glob)
+    if not layouts:
+        return _scan_layout(spark, root, name_glob, schema, schema, [])
+    scans = []
+    for header, paths in layouts:
+        names = next(csv.reader([header.removeprefix("\ufeff")], doublequote=True))
+        twice = {n for n in names if [m.lower() for m in names].count(n.lower()) > 1}
+        if twice:
+            raise ValueError(f"columns {sorted(twice)} occur more than once in the header of {paths[0]}")
+        held = T.StructType([T.StructField(n, (find(schema, n) or T.StructField(n, T.StringType())).dataType) for n in names])
+        scans.append(_scan_layout(spark, root, name_glob, held, schema, paths if len(layouts) > 1 else None))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def csv_layouts(spark: SparkSession, root: str, name_glob: str) -> list[tuple[str, list[str]]]:
+    """(header line, paths of the files that begin with it). Only headers and paths leave the scan."""
+    lines = _files_under(spark.read, name_glob).text(root).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    return reader.csv(root).select(
-        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path")
+    headers = first.agg(F.min_by("value", "place").alias("header"))
+    grouped = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    found = grouped.agg(F.sort_array(F.collect_list(F.struct("header", "paths"))).alias("layouts")).first()
+    return [(layout.header, layout.paths) for layout in found["layouts"]]
+
+
+def _scan_layout(
+    spark: SparkSession, root: str, name_glob: str, held: T.StructType, wanted: T.StructType, paths: list[str] | None
+) -> DataFrame:
+    """Files of one header, ``held``, in the columns of ``wanted``; of all files, or of those in ``paths``."""
+    reader = spark.read.schema(held).option("header", True).option("enforceSchema", False).option("escape", '"')
+    rows = _files_under(reader, name_glob).csv(root)
+    path = F.col("_metadata.file_path")
+    if paths is not None:
+        # A condition on the path alone: files of other layouts are not opened.
+        rows = rows.where(path.isin(paths))
+
+    def cell(field: T.StructField) -> Column:
+        known = find(held, field.name)
+        return (F.col(f"`{known.name}`") if known else F.lit(None).cast(field.dataType)).alias(field.name)
+
+    return rows.select(
+        *[cell(f) for f in wanted], path.alias("file_path"), F.col("_metadata.file_name").alias("file_name")
     )
 
 
 def scan_lines(spark: SparkSession, root: str, name_glob: str = "*.txt") -> DataFrame:
-    """Text files as (file_name, line_no, line), line_no rising in file order.
+    """Text files as (file_path, file_name, line_no, line), line_no rising in file order.
 
-    A large file is read in pieces by several tasks. The piece's start (in MiB) gives the upper
-    bits of the number and the place inside the task the lower 33, so lines need no shuffle to be
-    put in order.
+    ``line_no`` is made of the byte at which the piece of the file begins and the place inside the task, so lines
+    need no shuffle to be put in order and a file may have any size. A task reads no more lines than bytes, at
+    most those of one piece and a line break for each file; with four numbers to each byte, lines of one piece
+    stay below the first of the next.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).text(root)
-    )
-    piece = F.shiftleft(F.floor(F.col("_metadata.file_block_start") / F.lit(1 << 20)), 33)
+    lines = _files_under(spark.read, name_glob).text(root)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return lines.select(
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
-        (piece + place).alias("line_no"),
+        (F.col("_metadata.file_block_start") * 4 + place).alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
 def list_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
     """Files under ``root`` by name, contents left unread."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name_glob)
-        .load(root)
-    )
+    files = _files_under(spark.read.format("binaryFile"), name_glob).load(root)
     return files.select("path", "length", "modificationTime").orderBy("path")
 
 
@@ -154,5 +198,10 @@ def with_fallback(primary: DataFrame, secondary: DataFrame, document: str) -> Da
     return primary.unionByName(rows_without(secondary, primary, [document]))
 
 
+def lines_without_records(lines: DataFrame, records: DataFrame, document: str) -> DataFrame:
+    """Lines of a second text source for documents that the first gave no records for: only these are parsed."""
+    return rows_without(lines, records, [document])
+
+
 def column_type(df: DataFrame, name: str) -> T.DataType:
     return find(df.schema, name).dataType

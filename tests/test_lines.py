@@ -145,3 +145,50 @@ def test_seed_override_keeps_leading_zeros(spark, tmp_path):
     (tmp_path / "seed.csv").write_text("code,n\n007,1\n008,2\n")
     seed = files.load_seed(spark, str(tmp_path / "seed.csv"), {"code": "string", "n": "double"})
     assert [tuple(r) for r in seed.orderBy("code").collect()] == [("007", 1.0), ("008", 2.0)]
+
+
+def test_small_pieces_and_equal_names_keep_lines_apart(spark, tmp_path):
+    """Pieces far below a MiB, empty lines, and two files of one name."""
+    texts = {"a": "\n" * 3000 + "\n".join(f"a{i}" for i in range(3000)), "b": "\n".join(str(i) for i in range(5000)) + "\n" * 200}
+    for folder, text in texts.items():
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.txt").write_text(text)
+    for i in range(20):
+        (tmp_path / f"small{i}.txt").write_text(f"{i}\n\n{i}")
+    sizes = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        rows = files.scan_lines(spark, str(tmp_path)).collect()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    for folder, text in texts.items():
+        own = sorted((r.line_no, r.line) for r in rows if f"/{folder}/same.txt" in r.file_path)
+        assert [line for _, line in own] == text.splitlines()
+        assert len({n for n, _ in own}) == len(own)
+
+
+def test_csv_files_are_united_by_name(spark, rows, tmp_path):
+    (tmp_path / "Press_release 1.csv").write_text('PDF,Units,Month,manufacturer,"Note, x"\np1,"1,000",May-24,A,n\n')
+    (tmp_path / "Press_release%202.csv").write_text("\ufeffManufacturer,Frequency,Month,Units,Region,PDF\nB,M,May-24,2,EU,p2\n")
+    (tmp_path / "Press_release3.csv").write_text("Region,PDF\nEU,p3\nEFTA,p3\n")
+    (tmp_path / "Press_release4.csv").write_text("")
+    (tmp_path / "Press_release5.csv").write_text("Region,PDF\n")
+    scan = files.scan_csv(spark, str(tmp_path), files.RELEASE_SCHEMA)
+    assert scan.columns == [*files.RELEASE_SCHEMA.names, "file_path", "file_name"]
+    assert rows(scan, *files.RELEASE_SCHEMA.names) == sorted(
+        [("A", None, "May-24", "1,000", None, "p1"), ("B", "M", "May-24", "2", "EU", "p2"),
+         (None, None, None, None, "EU", "p3"), (None, None, None, None, "EFTA", "p3")],
+        key=repr,
+    )
+    assert len(files.csv_layouts(spark, str(tmp_path), "Press_release*.csv")) == 3
+    with pytest.raises(Exception, match="header"):
+        files.scan_csv(spark, str(tmp_path), files.RELEASE_SCHEMA, one_layout=True).collect()
+    assert files.scan_csv(spark, str(tmp_path), files.RELEASE_SCHEMA, "none*.csv").collect() == []
+
+
+def test_repeated_column_names_are_an_error(spark, tmp_path):
+    (tmp_path / "Press_release1.csv").write_text("Region,PDF,region\nEU,p,x\n")
+    with pytest.raises(ValueError, match="more than once"):
+        files.scan_csv(spark, str(tmp_path), files.RELEASE_SCHEMA)
