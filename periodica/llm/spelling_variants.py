@@ -5,12 +5,12 @@
    words shorter than ``least_length`` cannot be in the result and are not moved.
 2. Words one edit apart have letter counts at a squared distance of 1 (inserted or deleted) or 2 (replaced), so they
    differ in the counts of at most two letters. The alphabet is dealt into ``GROUPS`` groups of about equal
-   frequency, of which at most two hold those letters: near words have equal counts in two of the four groups. Each
-   pair of groups makes a block of the words with the same counts there.
+   frequency, of which at most two hold those letters: near words have equal counts in all but two of the groups.
+   Each choice of groups but two makes a block of the words with the same counts there.
 3. A block of more than ``TILE`` words is cut into slots by hash, and each pair of slots is one tile, so that no task
-   has to hold a block. Inside a tile words are ordered by length, and NumPy products of the count matrices of each
-   length with itself and the next length give all squared distances; pairs at most two apart are verified letter by
-   letter. A pair is reported in the first block it shares only.
+   has to hold a block; the number of tasks follows the number of products. Inside a tile words are ordered by
+   length, and NumPy products of the count matrices of each length with itself and the next length give all squared
+   distances; pairs at most two apart are verified letter by letter. A pair is reported in the first block it shares.
 4. A word's form is its most frequent near word if that is ``ratio`` times as frequent; as counts grow by that ratio
    with every step, roots take a bounded number of doubling joins.
 
@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 
 from periodica.llm.common import slices, stored
 
-GROUPS = 4
-PAIRS = tuple(combinations(range(GROUPS), 2))
-# Words of a slot, of which a tile holds two, and rows of one product.
+GROUPS = 5
+CHOICES = tuple(combinations(range(GROUPS), GROUPS - 2))
+# Words of a slot, of which a tile holds two, rows of one product, and squared distances for one task.
 TILE = 2048
 PRODUCT_ROWS = 256
+TASK_PRODUCTS = 50_000_000
 # Distinct words that a task counts before it passes them on.
 HELD = 200_000
 LETTERS = "A-Za-zÀ-ÿ"
@@ -116,7 +117,7 @@ def letter_groups(words: DataFrame) -> dict[str, int]:
 
 
 def _keys(group: dict[str, int]):
-    """mapInArrow function: word, n -> one row per pair of groups with the letters it has there, sorted."""
+    """mapInArrow function: word, n -> one row per choice of groups with the letters it has there, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,8 +126,9 @@ def _keys(group: dict[str, int]):
             for parts, word in zip(held, words, strict=True):
                 for letter in sorted(word):
                     parts[group[letter]].append(letter)
-            for number, (a, b) in enumerate(PAIRS):
-                block = [f"{number}{''.join(p[a])}/{''.join(p[b])}" for p in held]
+            held = [["".join(part) for part in parts] for parts in held]
+            for number, choice in enumerate(CHOICES):
+                block = [f"{number}/" + "/".join([parts[g] for g in choice]) for parts in held]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(block, pa.string()), batch.column("word"), batch.column("n")], names=["block", "word", "n"]
                 )
@@ -185,16 +187,16 @@ def _near(group: dict[str, int]):
     """mapInArrow function over rows sorted by tile: the verified pairs of each tile."""
     column = {letter: i for i, letter in enumerate(group)}
 
-    def first_pair(a: str, b: str) -> int:
-        """Number of the first pair of groups in which two words have the same letters."""
+    def first_choice(a: str, b: str) -> int:
+        """Number of the first choice of groups in which two words have the same letters."""
         odd = {group[c] for c in {*a, *b} if a.count(c) != b.count(c)}
-        return next(i for i, pair in enumerate(PAIRS) if not odd.intersection(pair))
+        return next(i for i, choice in enumerate(CHOICES) if not odd.intersection(choice))
 
     def pairs(name: str, words: list[str], counts: list[int], sides: list[int]) -> list[tuple[str, int, str, int]]:
-        number = int(name[0])
+        number = int(name.split("/", 1)[0])
         found = []
         for a, b in near_by_counts(words, np.array(sides), column):
-            if one_edit(words[a], words[b]) and first_pair(words[a], words[b]) == number:
+            if one_edit(words[a], words[b]) and first_choice(words[a], words[b]) == number:
                 found.append((words[a], counts[a], words[b], counts[b]))
         return found
 
@@ -232,7 +234,8 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
     """(a, n_a, b, n_b): each pair of ``words`` (word, n) one edit apart, once."""
     group = letter_groups(words)
     keyed = words.mapInArrow(_keys(group), "block string, word string, n long")
-    sizes = keyed.groupBy("block").agg(F.count("*").alias("members")).where("members > 1")
+    sizes = stored(keyed.groupBy("block").agg(F.count("*").alias("members")).where("members > 1"), "blocks")
+    products = sizes.agg(F.sum(F.col("members") * F.col("members")).alias("n")).first()["n"] or 0
     sizes = sizes.select(F.struct("block").alias("of"), F.ceil(F.col("members") / tile).cast("int").alias("slots"))
     held = keyed.join(sizes, F.struct("block") == F.col("of")).select("block", "word", "n", "slots")
     slot = F.pmod(F.xxhash64("word"), F.col("slots")).cast("int")
@@ -245,8 +248,8 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
         "n",
         (F.col("slot") > F.col("other")).cast("int").alias("side"),
     )
-    # Tiles are small; a hash of a tile's name spreads the tiles of a large block over all tasks.
-    tiles = tiles.repartition("block", "low", "high").sortWithinPartitions("block", "low", "high")
+    # A hash of a tile's name spreads the tiles of a large block over all tasks.
+    tiles = tiles.repartition(1 + products // TASK_PRODUCTS, "block", "low", "high").sortWithinPartitions("block", "low", "high")
     return tiles.mapInArrow(_near(group), "a string, n_a long, b string, n_b long")
 
 
