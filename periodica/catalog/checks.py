@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.catalog.bindings import DEDUPED, TARGET_END, orders_source, orders_target, raw_facts, with_sql
 from periodica.catalog.registry import query
-from periodica.operators import checks
+from periodica.operators import checks, suites
 from periodica.plans import models
 from periodica.plans.tables import replace_folder
 from periodica.session import table, work_dir
@@ -218,3 +219,102 @@ def check_suite(spark, folder):
         ]
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _full_suite(spark, folder) -> dict[str, tuple[DataFrame, list[suites.Check]]]:
+    def of(name: str) -> DataFrame:
+        return table(spark, folder, name)
+
+    orders = of("orders").withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")))
+    return {
+        "orders": (
+            orders,
+            [
+                suites.Check("not_null", "o_orderkey"),
+                suites.Check("not_null", "o_orderpriority", warn_if="> 1000000", error_if="> 2000000"),
+                suites.Check("not_null", "o_orderpriority", where="o_orderstatus = 'P'", fail_calc="sum(o_custkey)", name="unset_pending"),
+                suites.Check("not_null", "o_orderpriority", where="o_orderstatus = 'X'", fail_calc="max(o_custkey)", name="unset_none"),
+                suites.Check("unique", "o_orderkey"),
+                suites.Check("unique", "o_custkey", fail_calc="sum(n_records)", name="repeated_customers"),
+                suites.Check("unique", "o_custkey", where="o_orderstatus = 'P'", limit=10, name="repeated_pending"),
+                suites.Check("accepted_values", "o_orderstatus", values=("F", "O")),
+                suites.Check("accepted_values", "o_orderpriority", values=("1-URGENT",), fail_calc="max(n_records)", error_if="< 0"),
+                suites.Check("relationships", "o_custkey", to=of("customer"), field="c_custkey"),
+                suites.Check("relationships", "o_orderkey", to=of("lineitem"), field="l_orderkey", where="o_orderstatus <> 'F'"),
+                suites.Check("relationships", "o_custkey", to=of("supplier"), field="s_suppkey", limit=100, name="customers_supply"),
+                suites.Check(
+                    "relationships", "o_custkey", to=of("supplier"), field="s_suppkey", fail_calc="max(from_field)", name="last_customer"
+                ),
+            ],
+        ),
+        "lineitem": (
+            of("lineitem"),
+            [
+                suites.Check("not_null", "l_shipdate"),
+                suites.Check("unique", "l_orderkey", where="l_linenumber > 1", warn_if=">= 0", error_if="< 0"),
+                suites.Check("accepted_values", "l_linenumber", values=(1, 2, 3)),
+                suites.Check("relationships", "l_partkey", to=of("part"), field="p_partkey"),
+                suites.Check("relationships", "l_suppkey", to=of("supplier").where("s_acctbal > 0"), field="s_suppkey"),
+            ],
+        ),
+    }
+
+
+def _full_suite_sql() -> str:
+    """Every check counted for itself, as its own subquery."""
+    part = "(SELECT {} FROM ({}))"
+    nulls = "SELECT * FROM o WHERE o_orderpriority IS NULL AND {}"
+    repeated = "SELECT {0} AS value, count(*) AS n_records FROM {1} WHERE {2} GROUP BY 1 HAVING count(*) > 1"
+    outside = "SELECT {0} AS value, count(*) AS n_records FROM {1} WHERE {0} NOT IN ({2}) GROUP BY 1"
+    orphans = "SELECT {0} AS value FROM {1} WHERE {2} AND {0} NOT IN (SELECT {3} FROM {4})"
+    ten = repeated.format("o_custkey", "o", "o_orderstatus = 'P'")
+    supply = orphans.format("o_custkey", "o", "true", "s_suppkey", "supplier")
+    rows = [
+        ("orders", "not_null_o_orderkey", "not_null", "o_orderkey", part.format("count(*)", "SELECT * FROM o WHERE o_orderkey IS NULL"), "false", "<> 0", "<> 0"),
+        ("orders", "not_null_o_orderpriority", "not_null", "o_orderpriority", part.format("count(*)", nulls.format("true")), "false", "> 1000000", "> 2000000"),
+        ("orders", "unset_pending", "not_null", "o_orderpriority", part.format("sum(o_custkey)", nulls.format("o_orderstatus = 'P'")), "false", "<> 0", "<> 0"),
+        ("orders", "unset_none", "not_null", "o_orderpriority", "NULL", "false", "<> 0", "<> 0"),
+        ("orders", "unique_o_orderkey", "unique", "o_orderkey", part.format("count(*)", repeated.format("o_orderkey", "o", "true")), "false", "<> 0", "<> 0"),
+        ("orders", "repeated_customers", "unique", "o_custkey", part.format("sum(n_records)", repeated.format("o_custkey", "o", "true")), "false", "<> 0", "<> 0"),
+        ("orders", "repeated_pending", "unique", "o_custkey", part.format("least(count(*), 10)", ten), part.format("count(*) > 10", ten), "<> 0", "<> 0"),
+        ("orders", "accepted_values_o_orderstatus", "accepted_values", "o_orderstatus", part.format("count(*)", outside.format("o_orderstatus", "o", "'F', 'O'")), "false", "<> 0", "<> 0"),
+        ("orders", "accepted_values_o_orderpriority", "accepted_values", "o_orderpriority", part.format("max(n_records)", outside.format("o_orderpriority", "o", "'1-URGENT'")), "false", "<> 0", "< 0"),
+        ("orders", "relationships_o_custkey", "relationships", "o_custkey", part.format("count(*)", orphans.format("o_custkey", "o", "true", "c_custkey", "customer")), "false", "<> 0", "<> 0"),
+        ("orders", "relationships_o_orderkey", "relationships", "o_orderkey", part.format("count(*)", orphans.format("o_orderkey", "o", "o_orderstatus <> 'F'", "l_orderkey", "lineitem")), "false", "<> 0", "<> 0"),
+        ("orders", "customers_supply", "relationships", "o_custkey", part.format("least(count(*), 100)", supply), part.format("count(*) > 100", supply), "<> 0", "<> 0"),
+        ("orders", "last_customer", "relationships", "o_custkey", part.format("max(value)", supply), "false", "<> 0", "<> 0"),
+        ("lineitem", "not_null_l_shipdate", "not_null", "l_shipdate", part.format("count(*)", "SELECT * FROM lineitem WHERE l_shipdate IS NULL"), "false", "<> 0", "<> 0"),
+        ("lineitem", "unique_l_orderkey", "unique", "l_orderkey", part.format("count(*)", repeated.format("l_orderkey", "lineitem", "l_linenumber > 1")), "false", ">= 0", "< 0"),
+        ("lineitem", "accepted_values_l_linenumber", "accepted_values", "l_linenumber", part.format("count(*)", outside.format("l_linenumber", "lineitem", "1, 2, 3")), "false", "<> 0", "<> 0"),
+        ("lineitem", "relationships_l_partkey", "relationships", "l_partkey", part.format("count(*)", orphans.format("l_partkey", "lineitem", "true", "p_partkey", "part")), "false", "<> 0", "<> 0"),
+        ("lineitem", "relationships_l_suppkey", "relationships", "l_suppkey", part.format("count(*)", orphans.format("l_suppkey", "lineitem", "true", "s_suppkey", "supplier WHERE s_acctbal > 0")), "false", "<> 0", "<> 0"),
+    ]
+    selects = [
+        f"SELECT '{m}' AS model, '{name}' AS check_name, '{kind}' AS kind, '{column}' AS column_name, failures, {cut} AS limited, "
+        f"failures {warn} AS should_warn, failures {error} AS should_error FROM (SELECT CAST({value} AS DOUBLE) AS failures)"
+        for m, name, kind, column, value, cut, warn, error in rows
+    ]
+    return with_sql("o AS (SELECT * REPLACE (nullif(o_orderpriority, '3-MEDIUM') AS o_orderpriority) FROM orders)", "\nUNION ALL ".join(selects))
+
+
+@query("check_suite_full", _full_suite_sql())
+def check_suite_full(spark, folder):
+    """All kinds of checks over orders and line items, with conditions, limits and measures, failures stored."""
+    root = work_dir(spark, "failures")
+    parts = [suites.run(rows, name, suite, f"{root}/{name}") for name, (rows, suite) in _full_suite(spark, folder).items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "check_report_order",
+    """
+SELECT * FROM (
+  SELECT 'o_custkey' AS column_name, CAST(o_custkey AS VARCHAR) AS unique_field, count(*) AS n_records FROM orders GROUP BY 2
+  UNION ALL SELECT 'o_orderkey', CAST(o_orderkey AS VARCHAR), count(*) FROM orders GROUP BY 2
+  UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 2)
+WHERE n_records > 1 ORDER BY column_name, n_records DESC, unique_field""",
+)
+def check_report_order(spark, folder):
+    """Repeated values of three columns in the order of a report."""
+    failing = checks.aggregated_unique(table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"])
+    return checks.ordered(failing)

@@ -64,7 +64,7 @@ def aggregated_unique(df: DataFrame, columns: Sequence[str], skip: Sequence[str]
 
 
 def aggregated_not_null(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
-    """One row per missing value, naming its column; one scan for all columns."""
+    """One row per missing value, naming its column; one scan for all columns. ``ordered`` gives the report's order."""
     names = [c for c in columns if c not in skip]
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string")
@@ -72,6 +72,13 @@ def aggregated_not_null(df: DataFrame, columns: Sequence[str], skip: Sequence[st
     return df.select(F.explode(missing).alias("column_name"))
 
 
+def ordered(failing: DataFrame) -> DataFrame:
+    """Result of a check over many columns in the order of a report: by column, most records first, then by value."""
+    held = set(failing.columns)
+    order = [F.asc("column_name"), *[F.desc(c) for c in ("n_records", "failures") if c in held]]
+    return failing.orderBy(*order, *[F.asc(c) for c in ("unique_field",) if c in held])
+
+
 def verdict(
     failing: DataFrame,
     fail_calc: str = "count(*)",
