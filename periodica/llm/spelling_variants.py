@@ -9,7 +9,7 @@
    Each choice of groups but two makes a block of the words with the same counts there.
 3. A block of more than ``TILE`` words is cut into slots by hash, and each pair of slots is one tile, so that no task
    has to hold a block; the number of tasks follows the number of products. Inside a tile words are ordered by
-   length, and NumPy products of the count matrices of each length with itself and the next length give all squared
+   length, and NumPy products of the count matrix of some rows with those up to the next length give all squared
    distances; pairs at most two apart are verified letter by letter. A pair is reported in the first block it shares.
 4. A word's form is its most frequent near word if that is ``ratio`` times as frequent; as counts grow by that ratio
    with every step, roots take a bounded number of doubling joins.
@@ -42,6 +42,11 @@ CHOICES = tuple(combinations(range(GROUPS), GROUPS - 2))
 TILE = 2048
 PRODUCT_ROWS = 256
 TASK_PRODUCTS = 50_000_000
+# Words of small tiles that are taken together.
+GATHERED = 192
+# Places of a word laid out for the comparison of letters, and pairs compared at once.
+LAID_OUT = 48
+PAIRS_AT_ONCE = 20_000
 # Distinct words that a task counts before it passes them on.
 HELD = 200_000
 LETTERS = "A-Za-zÀ-ÿ"
@@ -146,58 +151,95 @@ def one_edit(a: str, b: str) -> bool:
     return a[at:] == b[at + 1 :] if len(a) < len(b) else a != b and a[at + 1 :] == b[at + 1 :]
 
 
-def near_by_counts(words: list[str], sides: np.ndarray, column: dict[str, int]) -> Iterator[tuple[int, int]]:
-    """Places (a, b) of words of adjacent lengths whose letter counts are at most two apart, b not the shorter one.
+class Tile:
+    """Words that are compared: their letters as columns, counted and laid out one per place.
 
-    Words of side 1 are compared with those of side 0 only; when all are of side 0, each with all others.
+    Small tiles are taken together: ``owner`` tells the words of one from those of another.
     """
-    lengths = np.array([len(w) for w in words])
-    order = np.lexsort((sides, lengths))
-    counts = np.zeros((len(words), len(column)))
-    letters = np.array([column[c] for w in words for c in w], dtype=np.int64)
-    np.add.at(counts, (np.repeat(np.arange(len(words)), lengths), letters), 1.0)
-    counts = counts[:, counts.any(axis=0)]
-    squares = np.einsum("ij,ij->i", counts, counts)
-    crossing = bool(sides.any())
-
-    def products(first: np.ndarray, second: np.ndarray, same: bool) -> Iterator[tuple[int, int]]:
+
+    def __init__(self, words: list[str], sides: list[int], column: dict[str, int], owner: list[int] | None = None):
+        n, width = len(words), len(column)
+        self.words, self.sides = words, np.array(sides)
+        self.owner = None if owner is None else np.array(owner)
+        self.lengths = np.array([len(w) for w in words])
+        letters = np.array([column[c] for w in words for c in w], dtype=np.int64)
+        word = np.repeat(np.arange(n), self.lengths)
+        self.counts = np.bincount(word * width + letters, minlength=n * width).reshape(n, width)
+        # Letters by place, and a place more, up to a bound; longer words are compared as text.
+        within = np.arange(len(letters)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        inside = within < LAID_OUT
+        self.laid = np.full((n, min(int(self.lengths.max()), LAID_OUT) + 1), -1, dtype=np.int16)
+        self.laid[word[inside], within[inside]] = letters[inside]
+
+    def near_by_counts(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (a, b) of words of adjacent lengths whose counts are at most two apart, b not the shorter one.
+
+        Words of side 1 are compared with those of side 0 only; when all are of side 0, each with all others.
+        """
+        lengths = self.lengths
+        # Letters that all words have equally often add nothing to a distance.
+        counts = self.counts[:, (self.counts != self.counts[0]).any(axis=0)].astype(np.float64)
+        squares = np.einsum("ij,ij->i", counts, counts)
+        order = np.argsort(lengths, kind="stable")
+        same = not self.sides.any()
+        first, second = (order, order) if same else (order[self.sides[order] == 0], order[self.sides[order] == 1])
+        reached = lengths[second]
         for start in range(0, len(first), PRODUCT_ROWS):
             some = first[start : start + PRODUCT_ROWS]
-            apart = squares[some][:, None] + squares[second] - 2.0 * (counts[some] @ counts[second].T)
+            low = start if same else int(np.searchsorted(reached, lengths[some[0]] - 1, side="left"))
+            others = second[low : int(np.searchsorted(reached, lengths[some[-1]] + 1, side="right"))]
+            apart = squares[some][:, None] + squares[others] - 2.0 * (counts[some] @ counts[others].T)
             i, j = np.nonzero(apart <= 2.0)
+            a, b = some[i], others[j]
+            keep = np.abs(lengths[a] - lengths[b]) <= 1
             if same:
-                i, j = i[(keep := j > i + start)], j[keep]
-            yield from zip(some[i].tolist(), second[j].tolist(), strict=True)
-
-    ordered = lengths[order]
-    for length in np.unique(ordered).tolist():
-        block = order[ordered == length]
-        longer = order[ordered == length + 1]
-        if not crossing:
-            yield from products(block, block, True)
-            yield from products(block, longer, False)
-        else:
-            left, right = block[sides[block] == 0], block[sides[block] == 1]
-            yield from products(left, right, False)
-            yield from products(left, longer[sides[longer] == 1], False)
-            yield from products(right, longer[sides[longer] == 0], False)
+                keep &= j > i
+            if self.owner is not None:
+                keep &= self.owner[a] == self.owner[b]
+            a, b = a[keep], b[keep]
+            swap = lengths[a] > lengths[b]
+            yield np.where(swap, b, a), np.where(swap, a, b)
+
+    def one_edit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``one_edit`` of each pair of places: equal letters before the edit and behind it make up the shorter word."""
+        found = np.zeros(len(a), dtype=bool)
+        for start in range(0, len(a), PAIRS_AT_ONCE):
+            x, y = a[start : start + PAIRS_AT_ONCE], b[start : start + PAIRS_AT_ONCE]
+            shorter = self.lengths[x]
+            longer = (self.lengths[y] - shorter).astype(bool)
+            one, two = self.laid[x, :-1], self.laid[y]
+            beyond = np.arange(one.shape[1]) >= shorter[:, None]
+            level = (one == two[:, :-1]) & ~beyond
+            before = np.logical_and.accumulate(level, axis=1).sum(axis=1)
+            moved = np.where(longer[:, None], one == two[:, 1:], level) | beyond
+            behind = np.logical_and.accumulate(moved[:, ::-1], axis=1).sum(axis=1) - beyond.sum(axis=1)
+            found[start : start + PAIRS_AT_ONCE] = np.where(longer, before + behind >= shorter, before + behind == shorter - 1)
+        for i in np.flatnonzero(self.lengths[b] > LAID_OUT).tolist():
+            found[i] = one_edit(self.words[a[i]], self.words[b[i]])
+        return found
+
+    def first_choice(self, a: np.ndarray, b: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """Number of the first choice of groups in which the words of each pair have the same letters."""
+        odd = (self.counts[a] != self.counts[b]) @ groups > 0
+        holds = np.stack([~odd[:, list(choice)].any(axis=1) for choice in CHOICES], axis=1)
+        return holds.argmax(axis=1)
 
 
 def _near(group: dict[str, int]):
     """mapInArrow function over rows sorted by tile: the verified pairs of each tile."""
     column = {letter: i for i, letter in enumerate(group)}
-
-    def first_choice(a: str, b: str) -> int:
-        """Number of the first choice of groups in which two words have the same letters."""
-        odd = {group[c] for c in {*a, *b} if a.count(c) != b.count(c)}
-        return next(i for i, choice in enumerate(CHOICES) if not odd.intersection(choice))
-
-    def pairs(name: str, words: list[str], counts: list[int], sides: list[int]) -> list[tuple[str, int, str, int]]:
-        number = int(name.split("/", 1)[0])
-        found = []
-        for a, b in near_by_counts(words, np.array(sides), column):
-            if one_edit(words[a], words[b]) and first_choice(words[a], words[b]) == number:
-                found.append((words[a], counts[a], words[b], counts[b]))
+    groups = np.zeros((len(group), GROUPS), dtype=np.int64)
+    groups[np.arange(len(group)), list(group.values())] = 1
+
+    def pairs(names: list[str], owner: list[int], words: list[str], counts: list[int], sides: list[int]) -> list[tuple]:
+        """Verified pairs of the tiles called ``names``; ``owner`` is each word's tile."""
+        numbers = np.array([int(name.split("/", 1)[0]) for name in names])
+        tile, found = Tile(words, sides, column, owner), []
+        for a, b in tile.near_by_counts():
+            near = tile.one_edit(a, b)
+            a, b = a[near], b[near]
+            own = tile.first_choice(a, b, groups) == numbers[tile.owner[a]]
+            found += [(words[i], counts[i], words[j], counts[j]) for i, j in zip(a[own].tolist(), b[own].tolist(), strict=True)]
         return found
 
     def out(found: list[tuple[str, int, str, int]]) -> pa.RecordBatch:
@@ -208,23 +250,37 @@ def _near(group: dict[str, int]):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list] = ([], [], [])
-        tile = None
-        found: list[tuple[str, int, str, int]] = []
+        """Tiles come as runs of rows; small ones are gathered, one whose words have two sides is taken alone."""
+        names: list[str] = []
+        held: tuple[list, list, list, list] = ([], [], [], [])
+        tile: tuple | None = None
+        found: list[tuple] = []
+
+        def settle() -> None:
+            if len(held[0]) > 1:
+                found.extend(pairs(names, *held))
+            names.clear()
+            for cells in held:
+                cells.clear()
+
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("block", "low", "high", "word", "n", "side")]
-            for block, low, high, *row in zip(*columns, strict=True):
-                if (block, low, high) != tile:
-                    if tile is not None and len(held[0]) > 1:
-                        found += pairs(tile[0], *held)
-                    tile, held = (block, low, high), ([], [], [])
-                for cells, value in zip(held, row, strict=True):
-                    cells.append(value)
+            block, low, high, word, n, side = (batch.column(c).to_pylist() for c in ("block", "low", "high", "word", "n", "side"))
+            rows = list(zip(block, low, high, strict=True))
+            ends = [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
+            for start, stop in zip([0, *ends], [*ends, len(rows)], strict=True):
+                if rows[start] != tile:
+                    whole = tile is None or tile[1] == tile[2]
+                    if len(held[0]) >= GATHERED or not whole or rows[start][1] != rows[start][2]:
+                        settle()
+                    tile = rows[start]
+                    names.append(tile[0])
+                held[0].extend([len(names) - 1] * (stop - start))
+                for cells, values in zip(held[1:], (word, n, side), strict=True):
+                    cells.extend(values[start:stop])
             if len(found) > 10_000:
                 yield out(found)
-                found = []
-        if tile is not None and len(held[0]) > 1:
-            found += pairs(tile[0], *held)
+                found.clear()
+        settle()
         yield out(found)
 
     return run

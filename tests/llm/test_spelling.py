@@ -98,12 +98,26 @@ def test_products_find_all_pairs_two_apart():
         return abs(len(a) - len(b)) < 2 and sum((a.count(c) - b.count(c)) ** 2 for c in "abcd") <= 2
 
     want = {frozenset(p) for p in combinations(words, 2) if apart(*p)}
-    got = [frozenset((words[a], words[b])) for a, b in sv.near_by_counts(words, np.zeros(len(words), int), column)]
-    assert set(got) == want and len(got) == len(want)
-    sides = np.array([len(w) % 2 ^ (w < "b") for w in words])
-    crossing = {p for p in want if len({sides[words.index(w)] for w in p}) == 2}
-    got = [frozenset((words[a], words[b])) for a, b in sv.near_by_counts(words, sides, column)]
-    assert set(got) == crossing and len(got) == len(crossing)
+    mixed = [len(w) % 2 ^ (w < "b") for w in words]
+    side = dict(zip(words, mixed, strict=True))
+    for sides, wanted in (([0] * len(words), want), (mixed, {p for p in want if len({side[w] for w in p}) == 2})):
+        tile = sv.Tile(words, sides, column)
+        found = [(words[i], words[j]) for a, b in tile.near_by_counts() for i, j in zip(a, b, strict=True)]
+        assert {frozenset(p) for p in found} == wanted and len(found) == len(wanted)
+        assert all(len(a) <= len(b) for a, b in found)
+
+
+@pytest.mark.parametrize("laid_out", [48, 3])
+def test_edits_of_a_tile_are_those_of_the_words(monkeypatch, laid_out):
+    monkeypatch.setattr(sv, "LAID_OUT", laid_out)
+    monkeypatch.setattr(sv, "PAIRS_AT_ONCE", 7)
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.randrange(1, 7))) for _ in range(120)}, key=len)
+    tile = sv.Tile(words, [0] * len(words), {"a": 0, "b": 1})
+    pairs = [(i, j) for i, j in combinations(range(len(words)), 2) if len(words[j]) - len(words[i]) < 2]
+    got = tile.one_edit(np.array([i for i, _ in pairs]), np.array([j for _, j in pairs]))
+    assert got.tolist() == [sv.one_edit(words[i], words[j]) for i, j in pairs]
+    assert got.tolist() == [near(words[i], words[j]) for i, j in pairs]
 
 
 def test_one_edit():
