@@ -79,7 +79,8 @@ def test_late_rows_have_their_windows_computed_anew(spark, tmp_path):
         landing.deliver(*more)
         refresh(landing)
         assert held(landing) == expected(landing)
-    assert landing.reads == 2
+    # The first late row comes before its window's state is removed, which happens with the batch after the next.
+    assert landing.reads == 1
 
 
 def test_only_the_days_concerned_are_written(spark, tmp_path):
@@ -123,13 +124,14 @@ def test_windows_over_midnight(spark, tmp_path, kind):
     rule = totals(width="10 hours", keys=[])
     landing.deliver(*FIRST)
     refresh(landing, rule)
-    landing.deliver((4, "2024-01-03 00:20", "z", 4))
-    refresh(landing, rule)
+    for late in ("2024-01-03 00:20", "2024-01-03 01:20"):
+        landing.deliver((4, late, "z", 4))
+        refresh(landing, rule)
     landing.deliver((5, "2023-12-31 23:50", "z", 5), (6, "2024-01-01 02:00", "z", 6))
     refresh(landing, rule)
     rows = spark.read.parquet(landing.output).collect()
     starts = {r.window_start for r in rows}
-    assert sum(r.n for r in rows) == 6 and len(starts) == len(rows)
+    assert sum(r.n for r in rows) == 7 and len(starts) == len(rows)
     assert all(r.window_end - r.window_start == dt.timedelta(hours=10) for r in rows)
     assert landing.reads == 1
 
