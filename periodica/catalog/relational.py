@@ -107,7 +107,8 @@ def typed_nulls(spark, folder):
     """Customers without a recent order, padded with the order columns."""
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
     recent = orders.where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    idle = table(spark, folder, "customer").join(recent, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    recent = recent.withColumnRenamed("o_custkey", "c_custkey")
+    idle = joins.rows_without(table(spark, folder, "customer"), recent, ["c_custkey"])
     return idle.select("c_custkey", *schema.typed_nulls(orders.drop("o_custkey").schema))
 
 
@@ -276,16 +277,25 @@ def array_agg_sorted(spark, folder):
     )
 
 
+@query(
+    "array_agg",
+    "SELECT o_custkey, o_orderstatus, array_agg(o_orderpriority ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1, 2",
+)
+def array_agg(spark, folder):
+    """Every order's priority per customer and state, repeats kept."""
+    return triage.array_agg(table(spark, folder, "orders"), ["o_custkey", "o_orderstatus"], "o_orderpriority", "priorities")
+
+
 @query(
     "any_value_const",
     "SELECT l_suppkey, any_value(s_name) AS s_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
     "GROUP BY 1",
 )
 def any_value_const(spark, folder):
-    lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-    )
-    return lines.groupBy("l_suppkey").agg(F.any_value("s_name").alias("s_name"), F.count(F.lit(1)).alias("n"))
+    """Lines are counted per supplier before the join, so a supplier of many lines is one row there."""
+    counted = table(spark, folder, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    named = table(spark, folder, "supplier").groupBy("s_suppkey").agg(F.any_value("s_name").alias("s_name"))
+    return counted.join(named, F.col("l_suppkey") == F.col("s_suppkey")).select("l_suppkey", "s_name", "n")
 
 
 @query(

@@ -22,6 +22,7 @@ from periodica.fixed_values import SURROGATE_KEY_NULL
 from periodica.functions.scalars import month_end, not_equal_keep_null, surrogate_key
 from periodica.operators import triage
 from periodica.operators.dedupe import attach_latest, keep_latest
+from periodica.operators.joins import rows_with
 from periodica.operators.series import growth, to_long, trailing_sum, year_to_date, yearly_growth
 from periodica.plans import models
 from periodica.session import table
@@ -314,12 +315,8 @@ def freshness(spark, folder):
     "FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'",
 )
 def freshness_of_query(spark, folder):
-    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
-    newest = (
-        table(spark, folder, "orders")
-        .join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
-        .agg(F.max("o_orderdate"))
-    )
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    newest = rows_with(table(spark, folder, "orders"), returned, ["o_orderkey"]).agg(F.max("o_orderdate"))
     return triage.freshness_of_query(newest, "2002-01-01 00:00:00")
 
 

@@ -53,6 +53,18 @@ def freshness_of_query(times: DataFrame, now) -> DataFrame:
     )
 
 
+def array_agg(df: DataFrame, keys: Sequence[str], value: str, output: str) -> DataFrame:
+    """All values of a group as a sorted array, repeats kept, NULLs first.
+
+    Equal values are counted before they are moved, so a large group travels as its distinct values; the
+    array itself holds the whole group and callers group values of bounded number.
+    """
+    counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    ordered = F.array_sort(F.collect_list(F.struct("_value", "_n")))
+    repeated = F.transform(ordered, lambda e: F.array_repeat(e["_value"], e["_n"]))
+    return counted.groupBy(*keys).agg(F.flatten(repeated).alias(output))
+
+
 def joined_text(
     df: DataFrame,
     keys: Sequence[str],
