@@ -6,17 +6,23 @@ at_least)`` shingles lie in one of them only.
 
 1. Equal sets are put together first, by 128 bits and their size; one member stands for all.
 2. Signatures. Sizes fall into bands, each ``BAND`` times as wide as the last. Inside a band at most k
-   shingles differ, so if the shingle domain is cut into ``k + 1 + SPARE`` parts, at least ``1 + SPARE``
-   parts of two linked sets are equal; each part's content is a signature. A set near the upper end
-   of its band also signs for the next one. Empty parts say nothing: they are only signed by sets with
-   more than ``SPARE`` of them, which linked sets with nothing but empty parts in common both are.
-   So every linked pair shares a signature.
-3. Links. Sets that share a signature are verified against one hub, the one met most often. Only sets
+   shingles differ. The shingle domain is cut into so many groups of three parts that at least
+   ``1 + SPARE`` times two parts of one group are equal in two linked sets: a first difference inside a
+   group costs it two of its three pairs of parts, a second one the third. The content of each two
+   parts of a group is a signature. A set near the upper end of its band also signs for the next one.
+   Two empty parts say nothing: they are only signed by sets with more than ``SPARE`` such pairs, which
+   linked sets with nothing but empty parts in common both are. So every linked pair shares a
+   signature, and most have to share more: as many as their sizes let differ.
+3. Rare ones first. A set that has to share ``need`` signatures of a band with another one still shares
+   ``KEPT`` of them (or all it needs) when its ``need - KEPT`` most frequent ones are left out, and is
+   linked with nothing when it shares fewer than ``need`` with any set. So passages that very many texts
+   hold do not bring these together.
+4. Links. Sets that share a signature are verified against one hub, the one met most often. Only sets
    that are then still in different components are compared further: by other hubs while many pairs
    are left and hubs settle at least half of them, then all the rest. Pairs that share fewer
-   signatures than their sizes ask for are no links and are not verified. So a pair that shares a
+   signatures than they need are no links and are not verified. So a pair that shares a
    signature ends up refuted, verified or inside one component, and components are exact.
-4. Components by least labels and pointer jumping, in rounds over stored tables.
+5. Components by least labels and pointer jumping, in rounds over stored tables.
 
 NULL and empty texts have empty sets and link with nothing. Rows repeated with their id share a
 component; a row with a NULL id has a NULL component. An empty table gives an empty result; other
@@ -40,11 +46,14 @@ from periodica.llm.common import WordHashes, bucket_of, mix, slices, stored, wor
 SHINGLE = 3
 BAND = 1.5
 SPARE = 2
+# Signatures of a set that are kept beyond those it need not share.
+KEPT = 3
 # Open pairs per signature row that are few enough to be compared at once.
 FEW_PAIRS = 8
 # A signature ends in its band's number; bands reach far beyond any text.
 LABEL_BITS = 6
 BAND_LIMIT = 1 << 33
+SETS = "id long, size long, one long, two long, sig array<long>, need array<long>"
 # Ids up to this number (8 bytes each) go to every task; more are joined by a shuffle.
 SMALL_IDS = 1_000_000
 
@@ -63,10 +72,17 @@ class Overlap:
     def linked(self, shared: int, sizes: int) -> bool:
         return self.of * shared >= self.at_least * (sizes - shared) and shared > 0
 
-    def parts(self, label: int) -> int:
-        """Parts of the shingle domain for the sets that sign for a band."""
-        ends = band_ends(BAND_LIMIT)
-        return self.differing(2 * (ends[label + 1] - 1)) + 1 + SPARE
+    def groups(self, label: int) -> int:
+        """Groups of three parts for the sets that sign for a band; 0 if only equal sets of it link."""
+        most = self.differing(2 * (band_ends(BAND_LIMIT)[label + 1] - 1))
+        return (most + 2 + SPARE) // 2 if most else 0
+
+    def equal_pairs(self, label: int, size: int) -> int:
+        """Least number of equal pairs of parts of a set with ``size`` shingles and any set linked to it."""
+        groups = self.groups(label)
+        other = min(size * self.of // self.at_least, band_ends(BAND_LIMIT)[label + 1] - 1)
+        most = self.differing(size + other)
+        return 3 * groups - 2 * min(most, groups) - max(0, most - groups)
 
 
 def shingle_hashes(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
@@ -88,33 +104,42 @@ def band_ends(limit: int) -> tuple[int, ...]:
     return (*ends, int(ends[-1] * BAND) + 1)
 
 
-def signatures(shingles: np.ndarray, rule: Overlap) -> np.ndarray:
-    """Signatures of one set of shingle hashes."""
+def signatures(shingles: np.ndarray, rule: Overlap) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of one set of shingle hashes, and how many of its band's a linked set has to share."""
     size = len(shingles)
+    none = np.array([], dtype=np.int64)
     if not size:
-        return np.array([], dtype=np.int64)
+        return none, none
     ends = band_ends(BAND_LIMIT)
     band = int(np.searchsorted(ends, size, side="right")) - 1
     labels = [band]
     if size * rule.of >= rule.at_least * ends[band + 1]:
         labels.append(band + 1)
-    found = []
+    found, needs = [none], [none]
     for label in labels:
-        parts = rule.parts(label)
-        if parts == 1 + SPARE:
+        groups = rule.groups(label)
+        if not groups:
             continue  # only equal sets link, and these are together already
-        part = bucket_of(mix(shingles, 1_000 + label), parts)
+        part = bucket_of(mix(shingles, 1_000 + label), 3 * groups)
         order = np.argsort(part, kind="stable")
         part = part[order]
         begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        content = np.add.reduceat(mix(shingles[order], 2_000 + label), begin)
-        own = part[begin]
-        if parts - len(own) > SPARE:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), own)
-            own, content = np.append(own, empty), np.append(content, np.zeros(len(empty), np.uint64))
-        name = mix(content ^ mix(own, 3_000 + label), 4_000)
-        found.append(name << np.uint64(LABEL_BITS) | np.uint64(label))
-    return np.concatenate(found).view(np.int64) if found else np.array([], dtype=np.int64)
+        content = np.zeros(3 * groups, dtype=np.uint64)
+        filled = np.zeros(3 * groups, dtype=bool)
+        content[part[begin]] = np.add.reduceat(mix(shingles[order], 2_000 + label), begin)
+        filled[part[begin]] = True
+        first, second = np.array([0, 0, 1]), np.array([1, 2, 2])
+        content, filled = content.reshape(groups, 3), filled.reshape(groups, 3)
+        place = mix(np.arange(3 * groups, dtype=np.uint64), 3_000 + label)
+        name = mix(content[:, first].ravel(), 5_000) ^ content[:, second].ravel()
+        name = mix(name ^ place, 4_000) << np.uint64(LABEL_BITS) | np.uint64(label)
+        told = (filled[:, first] | filled[:, second]).ravel()
+        empty = int(len(told) - told.sum())
+        if empty <= SPARE:
+            name = name[told]
+        found.append(name.view(np.int64))
+        needs.append(np.full(len(name), rule.equal_pairs(label, size) - min(empty, SPARE), dtype=np.int64))
+    return np.concatenate(found), np.concatenate(needs)
 
 
 def _describe(rule: Overlap, k: int):
@@ -124,24 +149,27 @@ def _describe(rule: Overlap, k: int):
             for batch in slices(whole, "text"):
                 words, counts = word_hashes(batch.column("text").to_pylist(), known, lower=True)
                 ends = np.cumsum(counts)
-                sizes, one, two, signed = [], [], [], []
+                sizes, one, two, signed, needs = [], [], [], [], []
                 for end, count in zip(ends.tolist(), counts.tolist(), strict=True):
                     shingles = shingle_hashes(words[end - count : end], k)
                     sizes.append(len(shingles))
                     one.append(mix(shingles, 11).sum(dtype=np.uint64))
                     two.append(mix(shingles, 12).sum(dtype=np.uint64))
-                    signed.append(signatures(shingles, rule))
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in signed])])
-                flat = np.concatenate(signed) if signed else np.array([], dtype=np.int64)
+                    names, need = signatures(shingles, rule)
+                    signed.append(names)
+                    needs.append(need)
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in signed])]), pa.int32())
+                none = np.array([], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"),
                         pa.array(sizes, pa.int64()),
                         pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(two, dtype=np.uint64).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
+                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([none, *signed]))),
+                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([none, *needs]))),
                     ],
-                    names=["id", "size", "one", "two", "signed"],
+                    names=["id", "size", "one", "two", "sig", "need"],
                 )
 
     return run
@@ -202,32 +230,33 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_signatures(members: DataFrame) -> DataFrame:
-    """(sig, id, size, n) of signatures that several sets have."""
-    signed = members.select("id", "size", F.explode("signed").alias("sig"))
+    """(sig, id, size, need, n) of signatures that several sets have, but for the most frequent ones of a set.
+
+    A set's signatures are collected into one array, which its own text bounds.
+    """
+    signed = members.select("id", "size", F.inline(F.arrays_zip("sig", "need")))
     many = signed.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select(F.struct("sig").alias("key"), "n")
-    return stored(signed.join(many, F.struct("sig") == F.col("key")).select("sig", "id", "size", "n"), "shared")
+    live = signed.join(many, F.struct("sig") == F.col("key")).select("sig", "id", "size", "need", "n")
+    label = F.col("sig").bitwiseAND(F.lit((1 << LABEL_BITS) - 1)).alias("label")
+    own = live.groupBy("id", "size", "need", label).agg(F.array_sort(F.collect_list(F.struct("n", "sig"))).alias("own"))
+    enough = F.size("own") >= F.col("need")
+    rare = F.slice("own", F.lit(1), (F.size("own") - F.col("need") + F.least("need", F.lit(KEPT))).cast("int"))
+    return stored(own.where(enough).select("id", "size", "need", F.inline(rare)), "shared")
 
 
 def possible_pairs(met: DataFrame, rule: Overlap) -> DataFrame:
-    """Distinct (a, b) of ``met`` (sig, a, size_a, b, size_b) that share as many signatures as a link needs.
-
-    At most ``differing`` parts of two linked sets differ, and at most SPARE equal parts are unsigned.
-    """
-    bands = len(band_ends(BAND_LIMIT)) - 1
-    parts = F.array(*[F.lit(rule.parts(label)) for label in range(bands)])
-    label = F.col("sig").bitwiseAND(F.lit((1 << LABEL_BITS) - 1)).cast("int")
-    shared = met.groupBy("a", "b", "size_a", "size_b", label.alias("label")).agg(F.count("*").alias("n"))
-    both = F.col("size_a") + F.col("size_b")
-    most = F.floor(both * (rule.of - rule.at_least) / (rule.of + rule.at_least))
+    """Distinct (a, b) of ``met`` (sig, a, size_a, need_a, b, ...) that share as many signatures as a link needs."""
+    label = F.col("sig").bitwiseAND(F.lit((1 << LABEL_BITS) - 1)).alias("label")
+    shared = met.groupBy("a", "b", "size_a", "size_b", "need_a", "need_b", label).agg(F.count("*").alias("n"))
     close = rule.of * F.least("size_a", "size_b") >= rule.at_least * F.greatest("size_a", "size_b")
-    return shared.where(close & (F.col("n") >= F.get(parts, F.col("label")) - most - SPARE)).select("a", "b").distinct()
+    return shared.where(close & (F.col("n") >= F.least("need_a", "need_b", F.lit(KEPT)))).select("a", "b").distinct()
 
 
 def link_components(live: DataFrame, texts: DataFrame, rule: Overlap, k: int) -> DataFrame:
-    """(id, component) of all ids in ``live`` (sig, id, size, n) that have a link; ``texts`` are compressed."""
+    """(id, component) of all ids in ``live`` (sig, id, size, need, n) that have a link; ``texts`` are compressed."""
     spark = live.sparkSession
     degree = live.groupBy("id").agg(F.sum("n").alias("degree")).select(F.struct("id").alias("key"), "degree")
-    ranked = live.join(degree, F.struct("id") == F.col("key")).select("sig", "id", "size", "degree")
+    ranked = live.join(degree, F.struct("id") == F.col("key")).select("sig", "id", "size", "need", "degree")
     ranked = stored(ranked, "ranked")
     rows = ranked.count()
     tested = links = None
@@ -235,7 +264,7 @@ def link_components(live: DataFrame, texts: DataFrame, rule: Overlap, k: int) ->
     before, turn, last = None, 0, False
     while not last:
         now = ranked.join(labels.select(F.struct("id").alias("of"), "component"), F.struct("id") == F.col("of"), "left")
-        now = now.select("sig", "id", "size", "degree", F.coalesce("component", "id").alias("component"))
+        now = now.select("sig", "id", "size", "need", "degree", F.coalesce("component", "id").alias("component"))
         counts = now.groupBy("sig", "component").agg(F.count("*").alias("n")).groupBy("sig").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")
         )
@@ -244,24 +273,28 @@ def link_components(live: DataFrame, texts: DataFrame, rule: Overlap, k: int) ->
         left = open_.agg(F.sum("cross").alias("n")).first()["n"]
         if not left:
             break
-        here = now.join(open_, F.struct("sig") == F.col("key")).select("sig", "id", "size", "degree", "component")
+        here = now.join(open_, F.struct("sig") == F.col("key")).select("sig", "id", "size", "need", "degree", "component")
         here = stored(here, "here")
         last = before is not None and (left <= FEW_PAIRS * rows or 2 * left > before)
         before = left
-        own = here.select("sig", F.col("id").alias("a"), F.col("size").alias("size_a"), "component")
+        own = here.select(
+            "sig", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("need").alias("need_a"), "component"
+        )
         if last:
-            other = here.select(
-                F.struct("sig").alias("key"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("theirs")
-            )
+            other = here.select("sig", F.struct("id", "size", "need", "component").alias("other"))
             apart = F.col("component") < F.col("theirs")
         else:
             place = F.struct("degree", "id") if not turn else F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"))
-            hubs = here.select("sig", F.struct(place.alias("place"), "id", "size", "component").alias("hub"))
-            hubs = hubs.groupBy("sig").agg(F.max("hub").alias("hub"))
-            other = hubs.select(
-                F.struct("sig").alias("key"), F.col("hub.id").alias("b"), F.col("hub.size").alias("size_b"), F.col("hub.component").alias("theirs")
-            )
+            hubs = here.select("sig", F.struct(place.alias("place"), "id", "size", "need", "component").alias("other"))
+            other = hubs.groupBy("sig").agg(F.max("other").alias("other"))
             apart = F.col("component") != F.col("theirs")
+        other = other.select(
+            F.struct("sig").alias("key"),
+            F.col("other.id").alias("b"),
+            F.col("other.size").alias("size_b"),
+            F.col("other.need").alias("need_b"),
+            F.col("other.component").alias("theirs"),
+        )
         met = own.join(other, (F.struct("sig") == F.col("key")) & apart)
         pairs = stored(possible_pairs(met, rule), "pairs")
         fresh = pairs
@@ -290,7 +323,7 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    described = stored(named.mapInArrow(_describe(rule, k), "id long, size long, one long, two long, signed array<long>"), "sets")
+    described = stored(named.mapInArrow(_describe(rule, k), SETS), "sets")
     sets = described.select("id", F.struct("one", "two", "size").alias("set"))
     alike = stored(sets.where("set.size > 0 and id is not null").groupBy("set").agg(F.min("id").alias("rep")), "alike")
     members = described.join(alike.select(F.col("rep").alias("of")), F.col("id") == F.col("of"), "left_semi")

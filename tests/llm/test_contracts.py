@@ -82,18 +82,25 @@ def test_components_without_broadcast_and_with_repeats(spark, rows):
     assert got.count() == len(rows) + 20
 
 
-def test_linked_sets_share_a_signature():
-    """At every size, sets at the bound of the link share a signature."""
+def test_linked_sets_share_the_signatures_they_need():
+    """At every size, sets at the bound of the link share as many signatures of a band as either needs."""
     import numpy as np
 
     rule, rng = jaccard_join.Overlap(), np.random.default_rng(1)
+    low = (1 << jaccard_join.LABEL_BITS) - 1
     for size in [*range(1, 60), 100, 177, 450, 2000]:
         for more in {0, size // 20, size // 10}:
             both = rng.integers(1, 2**63, size + more, dtype=np.uint64)
             a, b = both[:size], both[rule.differing(2 * size) // 2 :]
             shared = len(np.intersect1d(a, b))
-            if rule.linked(shared, len(a) + len(b)) and len(np.setxor1d(a, b)):
-                assert np.intersect1d(jaccard_join.signatures(a, rule), jaccard_join.signatures(b, rule)).size
+            if not rule.linked(shared, len(a) + len(b)) or not len(np.setxor1d(a, b)):
+                continue
+            of_a, of_b = (dict(zip(*map(np.ndarray.tolist, jaccard_join.signatures(s, rule)))) for s in (a, b))
+            common = [s for s in of_a if s in of_b]
+            assert common
+            for label in {s & low for s in of_a} & {s & low for s in of_b}:
+                needs = [n for own in (of_a, of_b) for s, n in own.items() if s & low == label]
+                assert min(needs) >= 1 and sum(s & low == label for s in common) >= max(needs)
 
 
 def test_components_of_a_chain(spark):
