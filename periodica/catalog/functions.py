@@ -10,7 +10,13 @@ from pyspark.sql import types as T
 from periodica.catalog.bindings import CUSTOMER_SERIES, FREQUENCIES, customer_frequency, customer_series, with_sql
 from periodica.catalog.registry import query
 from periodica.functions import scalars as S
-from periodica.functions.user_functions import grouped_apply, python_aggregate, python_scalar, sql_scalar
+from periodica.functions.user_functions import (
+    grouped_apply,
+    python_aggregate,
+    python_scalar,
+    sql_aggregate,
+    sql_scalar,
+)
 from periodica.session import table
 
 
@@ -304,6 +310,45 @@ def pandas_udaf(spark, folder):
     )
 
 
+WIDE_KEY = "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE 9007199254740992 + l_suppkey END"
+SPREAD_BY_WIDE_KEY = f"SELECT {WIDE_KEY} AS wide_key, max(l_quantity) - min(l_quantity) AS spread FROM lineitem GROUP BY 1"
+
+
+@query("python_aggregate_keys", SPREAD_BY_WIDE_KEY)
+def python_aggregate_keys(spark, folder):
+    """Keys that no float can hold, beside NULL."""
+    rows = table(spark, folder, "lineitem").select(F.expr(WIDE_KEY).cast("long").alias("wide_key"), "l_quantity")
+    return python_aggregate(rows, ["wide_key"], ["l_quantity"], spread_handler(), "spread", T.DoubleType())
+
+
+@query("sql_python_aggregate", SPREAD_BY_WIDE_KEY)
+def sql_python_aggregate(spark, folder):
+    """A Python aggregate called from SQL, over pieces of groups and then over their states."""
+    sql_aggregate(spark, "spread", spread_handler(), T.DoubleType())
+    table(spark, folder, "lineitem").createOrReplaceTempView("spread_input")
+    return spark.sql(
+        f"""
+        SELECT wide_key, spread(state) AS spread
+        FROM (
+          SELECT wide_key, spread_state(l_quantity) AS state
+          FROM (
+            SELECT {WIDE_KEY} AS wide_key, l_quantity, monotonically_increasing_id() DIV 100000 AS piece
+            FROM spread_input)
+          GROUP BY wide_key, piece)
+        GROUP BY wide_key"""
+    )
+
+
+@query(
+    "volatile_function",
+    "SELECT o_orderkey, o_totalprice * 2 AS doubled FROM orders WHERE o_totalprice * 2 > 100000",
+)
+def volatile_function(spark, folder):
+    """A volatile function runs once per row: a filter on its result is not pushed below it."""
+    double = python_scalar(lambda price: price * 2, "double", volatile=True)
+    return table(spark, folder, "orders").select("o_orderkey", double("o_totalprice").alias("doubled")).where("doubled > 100000")
+
+
 @query(
     "grouped_apply",
     with_sql(

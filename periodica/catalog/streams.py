@@ -29,6 +29,20 @@ def stream_ingest_once(spark, folder):
     return spark.read.parquet(f"{root}/taken")
 
 
+@query("stream_landing_archive", "SELECT * FROM events")
+def stream_landing_archive(spark, folder):
+    """Three deliveries into a landing zone that moves what it has taken into an archive."""
+    root = work_dir(spark, "landing")
+    events = table(spark, folder, "events")
+    delivery = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for turn in range(3):
+        events.where(F.coalesce(delivery, F.lit(0)) == turn).write.mode("append").parquet(f"{root}/landing")
+        ingest.empty_landing_zone(
+            spark, f"{root}/landing", f"{root}/archive", f"{root}/taken", f"{root}/checkpoint", events.schema
+        )
+    return spark.read.parquet(f"{root}/taken")
+
+
 @query(
     "stream_refresh_agg",
     """

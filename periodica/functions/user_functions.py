@@ -13,9 +13,11 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 MAX_HELD_GROUPS = 50_000
 ROWS_PER_FOLD = 250_000
@@ -63,6 +65,10 @@ def python_aggregate(
     ``finish()``. Rows are folded into partial states inside each task, then states are merged
     per (key, salt) and last per key; only states are shuffled, so one key holding most of the
     rows costs no more than any other. Without keys all rows are one group.
+
+    Keys are compared and returned as typed Arrow values: no integer is rounded beside a NULL, and NULL
+    and NaN are two keys. They have to be of atomic types. Integer inputs that hold NULLs reach the
+    handler as floats, NULL as NaN.
     """
     if not keys:
         whole = df.select(F.lit(1).alias("_whole"), *inputs)
@@ -70,80 +76,155 @@ def python_aggregate(
     keys = list(keys)
     inputs = list(inputs)
     key_fields = [df.schema[k] for k in keys]
+    for field in key_fields:
+        if isinstance(field.dataType, T.StructType | T.ArrayType | T.MapType):
+            raise TypeError(f"key {field.name} is not of an atomic type")
     state_schema = T.StructType(
         [*key_fields, T.StructField("_salt", T.IntegerType()), T.StructField("_state", T.BinaryType())]
     )
     held_limit, fold_rows = MAX_HELD_GROUPS, ROWS_PER_FOLD
 
-    def emit(held: dict[tuple, Any], salt: int) -> pd.DataFrame:
-        frame = pd.DataFrame(list(held), columns=keys, dtype=object)
-        frame["_salt"] = salt
-        frame["_state"] = [pickle.dumps(h.state) for h in held.values()]
-        return frame
+    def emit(held: dict[tuple, Any], salt: int, schema: pa.Schema) -> pa.RecordBatch:
+        names = [
+            pa.array([_value(key[i]) for key in held], schema.field(k).type, from_pandas=False) for i, k in enumerate(keys)
+        ]
+        states = pa.array([pickle.dumps(h.state) for h in held.values()], pa.binary())
+        return pa.RecordBatch.from_arrays([*names, pa.array([salt] * len(held), pa.int32()), states], [*keys, "_salt", "_state"])
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
             waiting.append(batch)
             if sum(map(len, waiting)) >= fold_rows:
-                yield pd.concat(waiting, ignore_index=True)
+                yield pa.Table.from_batches(waiting).combine_chunks()
                 waiting = []
         if waiting:
-            yield pd.concat(waiting, ignore_index=True)
+            yield pa.Table.from_batches(waiting).combine_chunks()
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         context = TaskContext.get()
         salt = (context.partitionId() if context else 0) % salts
         held: dict[tuple, Any] = {}
-        for batch in gather(batches):
-            groups = batch.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+        for table in gather(batches):
+            if not len(table):
+                continue
+            groups = _codes([table.column(k) for k in keys])
             by_group = np.argsort(groups, kind="stable")
             starts = np.flatnonzero(np.diff(groups[by_group], prepend=-1))
-            names = batch[keys].iloc[by_group[starts]].astype(object)
-            pieces = zip(*[np.split(batch[c].to_numpy()[by_group], starts[1:]) for c in inputs])
-            for key, vectors in zip(names.itertuples(index=False, name=None), pieces):
-                key = tuple(None if pd.isna(k) else k for k in key)
+            firsts = table.select(keys).take(pa.array(by_group[starts]))
+            names = zip(*[map(_named, firsts.column(k).to_pylist()) for k in keys])
+            pieces = zip(*[np.split(table.column(c).to_numpy()[by_group], starts[1:]) for c in inputs])
+            for key, vectors in zip(names, pieces):
                 if key not in held:
                     held[key] = handler()
                 held[key].accumulate(*vectors)
             if len(held) > held_limit:
-                yield emit(held, salt)
+                yield emit(held, salt, table.schema)
                 held = {}
         if held:
-            yield emit(held, salt)
+            yield emit(held, salt, table.schema)
 
     def merge_runs(group: Sequence[str], last: bool) -> Callable:
         """States of one group lie next to each other; a group is held as one merged state."""
+        made = to_arrow_type(returns) if last else pa.binary()
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            current, total = None, None
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            current, total, schema = None, None, None
 
             def result() -> tuple:
-                return (*current, total.finish() if last else pickle.dumps(total.state))
+                return (*map(_value, current), total.finish() if last else pickle.dumps(total.state))
+
+            def frame(rows: list[tuple]) -> pa.RecordBatch:
+                kinds = [*(schema.field(g).type for g in group), made]
+                arrays = [pa.array(list(c), kind) for c, kind in zip(zip(*rows), kinds)]
+                return pa.RecordBatch.from_arrays(arrays, [*group, output if last else "_state"])
 
             for batch in batches:
+                schema = batch.schema
                 rows = []
-                names = batch[list(group)].astype(object).itertuples(index=False, name=None)
-                for name, state in zip(names, batch["_state"]):
-                    name = tuple(None if pd.isna(n) else n for n in name)
+                names = zip(*[map(_named, batch.column(g).to_pylist()) for g in group])
+                for name, state in zip(names, batch.column("_state").to_pylist()):
                     if total is None or name != current:
                         if total is not None:
                             rows.append(result())
                         current, total = name, handler()
                     total.merge(pickle.loads(state))
                 if rows:
-                    yield pd.DataFrame(rows, columns=[*group, output if last else "_state"])
+                    yield frame(rows)
             if total is not None:
-                yield pd.DataFrame([result()], columns=[*group, output if last else "_state"])
+                yield frame([result()])
 
         return run
 
     final_schema = T.StructType([*key_fields, T.StructField(output, returns)])
-    partial = df.select(*keys, *inputs).mapInPandas(fold, state_schema)
-    salted = _runs(partial, [*keys, "_salt"]).mapInPandas(merge_runs([*keys, "_salt"], False), state_schema)
-    return _runs(salted, keys).mapInPandas(merge_runs(keys, True), final_schema)
+    partial = df.select(*[_one_zero(f).alias(f.name) for f in key_fields], *inputs).mapInArrow(fold, state_schema)
+    salted = _runs(partial, [*keys, "_salt"]).mapInArrow(merge_runs([*keys, "_salt"], False), state_schema)
+    return _runs(salted, keys).mapInArrow(merge_runs(keys, True), final_schema)
+
+
+NAN = ("nan",)
+
+
+def _named(value: Any) -> Any:
+    """A key that equals itself, also where NaN does not."""
+    return NAN if isinstance(value, float) and value != value else value
+
+
+def _value(name: Any) -> Any:
+    return float("nan") if name is NAN or name == NAN else name
+
+
+def _one_zero(field: T.StructField) -> Column:
+    """The column with -0.0 as 0.0, which are one key."""
+    zero = F.lit(0).cast(field.dataType)
+    return F.col(field.name) + zero if isinstance(field.dataType, T.FloatType | T.DoubleType) else F.col(field.name)
+
+
+def _codes(columns: Sequence[pa.ChunkedArray]) -> np.ndarray:
+    """Number of each row's group by all columns; NULL is a value."""
+    codes = None
+    for column in columns:
+        coded = column.combine_chunks().dictionary_encode(null_encoding="encode")
+        coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+        own = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if codes is None:
+            codes = own
+        else:
+            codes = np.unique(codes * len(coded.dictionary) + own, return_inverse=True)[1]
+    return codes
+
+
+def sql_aggregate(spark: SparkSession, name: str, handler: type, returns: T.DataType) -> None:
+    """Make a handler class callable in SQL, as two aggregate functions over Arrow arrays.
+
+    ``<name>_state(inputs...)`` gives the state of the rows of a group, ``<name>(state)`` the result of
+    its states. Spark hands such a function its whole group, so large groups are cut by a second key
+    and their states are put together::
+
+        SELECT k, spread(state) AS spread
+        FROM (SELECT k, spread_state(v) AS state
+              FROM (SELECT *, monotonically_increasing_id() DIV 100000 AS piece FROM t)
+              GROUP BY k, piece)
+        GROUP BY k
+
+    Keys stay inside Spark, so they keep their types and values. Inputs arrive as in ``python_aggregate``.
+    """
+
+    def state_of(*columns: pa.Array) -> Any:
+        held = handler()
+        held.accumulate(*[c.to_numpy(zero_copy_only=False) for c in columns])
+        return pickle.dumps(held.state)
+
+    def merged(states: pa.Array) -> Any:
+        held = handler()
+        for state in states.to_pylist():
+            held.merge(pickle.loads(state))
+        return held.finish()
+
+    spark.udf.register(f"{name}_state", F.arrow_udf(state_of, T.BinaryType()))
+    spark.udf.register(name, F.arrow_udf(merged, returns))
 
 
 def _runs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -163,26 +244,22 @@ def grouped_apply(
 
     Each group is one pandas frame, so callers pass data whose groups are bounded by design (a
     monthly series has one row per calendar month), reduced beforehand. Rows arrive sorted by key
-    in batches that hold many groups, which spares the round trip a grouped map makes per group.
+    in batches that hold many groups, which spares the round trip a grouped map makes per group. Spark
+    marks where a group begins, so keys are told apart by their typed values, NULL and NaN too.
     """
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
-        open_key = None
         for batch in batches:
-            codes = batch.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
-            starts = np.flatnonzero(np.diff(codes, prepend=-1))
-            names = batch[keys].iloc[starts].astype(object).itertuples(index=False, name=None)
+            starts = np.flatnonzero(batch.pop("_first").to_numpy())
             results = []
-            for name, first, stop in zip(names, starts, [*starts[1:], len(batch)]):
-                key = tuple(None if pd.isna(k) else k for k in name)
-                group = batch.iloc[first:stop]
-                if waiting and key != open_key:
+            if len(batch) and (not len(starts) or starts[0]):
+                waiting.append(batch.iloc[: starts[0] if len(starts) else None])
+            for first, stop in zip(starts, [*starts[1:], len(batch)]):
+                if waiting:
                     results.append(fn(_joined(waiting)))
-                    waiting = []
-                waiting.append(group)
-                open_key = key
+                waiting = [batch.iloc[first:stop]]
             if results:
                 yield pd.concat(results, ignore_index=True)
         if waiting:
@@ -191,4 +268,5 @@ def grouped_apply(
     def _joined(parts: list[pd.DataFrame]) -> pd.DataFrame:
         return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
 
-    return _runs(df, keys).mapInPandas(run, schema)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
+    return _runs(df, keys).withColumn("_first", first).mapInPandas(run, schema)

@@ -42,11 +42,7 @@ def run_to_end(query: StreamingQuery) -> None:
 
 
 def ingest_once(rows: DataFrame, output: str, checkpoint: str) -> None:
-    """Append files not seen before to a Parquet folder; the checkpoint remembers those taken.
-
-    To empty the landing folder set the reader's ``cleanSource`` option, which archives a file only
-    after its batch has been committed.
-    """
+    """Append files not seen before to a Parquet folder; the checkpoint remembers those taken."""
     run_to_end(
         rows.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -55,6 +51,22 @@ def ingest_once(rows: DataFrame, output: str, checkpoint: str) -> None:
     )
 
 
+def empty_landing_zone(
+    spark: SparkSession, landing: str, archive: str, output: str, checkpoint: str, schema: T.StructType, **options
+) -> None:
+    """``ingest_once`` from a landing folder that empties itself.
+
+    A file is moved below ``archive``, with its whole path, when its batch has been committed and the next
+    one is planned: the files of the last delivery lie in the landing folder until another one arrives.
+    ``archive`` must not lie in ``landing``, where archived files would be found again. Files are moved
+    by a thread beside the batches; one that could not be moved stays and is not taken a second time.
+    """
+    if f"{archive.rstrip('/')}/".startswith(f"{landing.rstrip('/')}/"):
+        raise ValueError(f"the archive {archive} lies in the landing folder")
+    rows = read_files(spark, landing, schema, cleanSource="archive", sourceArchiveDir=archive, **options)
+    ingest_once(rows, output, checkpoint)
+
+
 def windowed_totals(rows: DataFrame, event_time: str, width: str, keys: Sequence[str], aggregates: Sequence) -> DataFrame:
     """Aggregates per tumbling window and key.
 
