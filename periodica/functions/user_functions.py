@@ -268,5 +268,5 @@ def grouped_apply(
     def _joined(parts: list[pd.DataFrame]) -> pd.DataFrame:
         return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
 
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) == 1
     return _runs(df, keys).withColumn("_first", first).mapInPandas(run, schema)

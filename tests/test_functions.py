@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from periodica.fixed_values import SURROGATE_KEY_NULL
 from periodica.functions import scalars as S
-from periodica.functions.user_functions import grouped_apply, python_aggregate, python_scalar, sql_scalar
+from periodica.functions.user_functions import grouped_apply, python_aggregate, python_scalar, sql_aggregate, sql_scalar
 
 
 def one(spark, value, column):
@@ -149,3 +149,47 @@ def test_grouped_apply_sees_whole_groups(spark):
         assert got == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+WIDE = 2**53 + 1
+
+
+def test_aggregate_keys_keep_type_and_value(spark):
+    """No key is rounded beside a NULL; NULL, NaN and zero are three keys, both zeros are one."""
+    rows = [(WIDE, 0.0, 1.0), (WIDE - 1, -0.0, 3.0), (None, float("nan"), 5.0), (None, None, 7.0), (WIDE, 0.0, 9.0)]
+    df = spark.createDataFrame(rows, "k long, f double, v double")
+    got = {tuple(r) for r in python_aggregate(df, ["k"], ["v"], mean_handler(), "m", T.DoubleType()).collect()}
+    assert got == {(WIDE, 5.0), (WIDE - 1, 3.0), (None, 6.0)}
+    got = {str(r[0]): r[1] for r in python_aggregate(df, ["f"], ["v"], mean_handler(), "m", T.DoubleType()).collect()}
+    assert got == {"0.0": 13 / 3, "nan": 5.0, "None": 7.0}
+    empty = python_aggregate(df.where("k = 5"), ["k"], ["v"], mean_handler(), "m", T.DoubleType())
+    assert empty.columns == ["k", "m"] and not empty.collect()
+
+
+def test_aggregate_keys_of_several_types(spark):
+    df = spark.sql(
+        "SELECT id % 3 AS a, IF(id % 2 = 0, NULL, date'2020-01-01') AS b, cast(id % 2 AS decimal(30, 2)) AS c,"
+        " timestamp_ntz'2020-01-01 00:00:00.000001' AS d, cast(id AS double) AS v FROM range(60)"
+    )
+    keys = ["a", "b", "c", "d"]
+    got = sorted(map(str, python_aggregate(df, keys, ["v"], mean_handler(), "m", T.DoubleType()).collect()))
+    assert got == sorted(map(str, df.groupBy(*keys).agg(F.avg("v").alias("m")).collect()))
+
+
+def test_python_aggregate_called_from_sql(spark):
+    sql_aggregate(spark, "py_mean", mean_handler(), T.DoubleType())
+    spark.createDataFrame([(WIDE, 1.0), (None, 2.0), (WIDE, 4.0), (WIDE - 1, 8.0)], "k long, v double").createOrReplaceTempView("py_in")
+    got = spark.sql(
+        "SELECT k, py_mean(s) AS m FROM (SELECT k, py_mean_state(v) AS s FROM"
+        " (SELECT *, monotonically_increasing_id() DIV 2 AS piece FROM py_in) GROUP BY k, piece) GROUP BY k"
+    )
+    assert {tuple(r) for r in got.collect()} == {(WIDE, 2.5), (None, 2.0), (WIDE - 1, 8.0)}
+
+
+def test_grouped_apply_tells_null_from_nan(spark):
+    df = spark.createDataFrame([(None, 1), (float("nan"), 2), (float("nan"), 3), (1.0, 4)], "k double, v int")
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": [len(group)], "s": [int(group["v"].sum())]})
+
+    assert {tuple(r) for r in grouped_apply(df, ["k"], count, "n long, s long").collect()} == {(1, 1), (2, 5), (1, 4)}
