@@ -2,16 +2,18 @@
 
 Templates are cut into rolling word k-grams with their positions. The k-gram hashes of all texts
 are joined to them; a hit votes for the diagonal "position in the text minus position in the
-template". Votes are added up per text, template and diagonal. Diagonals that lie next to each
-other (a few words inserted or left out) are merged, and the merged span is verified: the words of
-every hit are compared as such, the share of the template that was met must reach
-``MIN_COVERAGE``, and the span may not be much longer than the template.
+template". Diagonals of a text and template that lie next to each other (a few words inserted or
+left out) are merged. Votes are added up per merged span, one for each position of the template
+however often it is met, and the span is verified: the words of every hit are compared as such, the
+share of the template's positions that were met must reach ``MIN_COVERAGE``, and the span may not be
+much longer than the template. Of equal starts or coverages all labels are reported.
 
 Phrases are templates of two or three words. Their 2-grams all have to vote for one diagonal,
 which is then a place where the words stand next to each other.
 
-The template table is fixed and small (a few thousand k-grams), so it is broadcast and the texts'
-k-grams are never shuffled; what is shuffled are hits. NULL and empty texts have no words and no
+Templates of up to ``SMALL_TEMPLATES`` words together are broadcast and the texts' k-grams are never
+shuffled; what is shuffled are hits. For more of them Spark chooses the join. Texts may have any length;
+the hits of one text and template meet in one sorted window. NULL and empty texts have no words and no
 labels. Rows repeated in full get equal results; an empty table gives an empty one; other columns
 are ignored.
 """
@@ -52,6 +54,7 @@ TEMPLATES = {
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SLACK = 3
 MIN_COVERAGE = 0.6
+SMALL_TEMPLATES = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -73,16 +76,18 @@ def _grams(spark: SparkSession, texts: dict[str, str], k: int, name: str) -> Dat
     )
 
 
-def hits_of(docs: DataFrame) -> DataFrame:
+def hits_of(docs: DataFrame, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
     """Verified k-gram hits of (id, text_hash, words): label, at, total, phrase and the text position."""
     spark = docs.sparkSession
     rest = [F.slice("words", i + 1, F.greatest(F.size("words"), F.lit(1))).alias(f"w{i}") for i in (1, 2)]
     rolled = F.arrays_zip(F.col("words").alias("w0"), *rest)
     stream = docs.select("id", "text_hash", F.posexplode(rolled).alias("pos", "w"))
     stream = stream.select("id", "text_hash", "pos", "w.w0", "w.w1", "w.w2")
-    two, three = _grams(spark, PHRASES, 2, "2"), _grams(spark, TEMPLATES, 3, "3")
-    joined = stream.join(F.broadcast(two), F.xxhash64("w0", "w1") == F.col("hash_2"), "left")
-    joined = joined.join(F.broadcast(three), F.xxhash64("w0", "w1", "w2") == F.col("hash_3"), "left")
+    two, three = _grams(spark, phrases, 2, "2"), _grams(spark, templates, 3, "3")
+    if sum(len(t.split()) for t in [*phrases.values(), *templates.values()]) <= SMALL_TEMPLATES:
+        two, three = F.broadcast(two), F.broadcast(three)
+    joined = stream.join(two, F.xxhash64("w0", "w1") == F.col("hash_2"), "left")
+    joined = joined.join(three, F.xxhash64("w0", "w1", "w2") == F.col("hash_3"), "left")
     joined = joined.where("hash_2 is not null or hash_3 is not null")
     none = F.expr("cast(array() as array<struct<label:string,at:int,total:int,phrase:boolean>>)")
     met_2 = F.when(F.col("words_2").eqNullSafe(F.array("w0", "w1")), F.col("places_2")).otherwise(none)
@@ -93,17 +98,17 @@ def hits_of(docs: DataFrame) -> DataFrame:
 def spans_of(hits: DataFrame) -> DataFrame:
     """Merged and verified diagonals: id, text_hash, label, phrase, start, end, coverage."""
     own = ["id", "text_hash", "label", "phrase", "total"]
-    votes = hits.groupBy(*own, (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")
-    )
+    diagonal = F.col("pos") - F.col("at")
     by_diagonal = Window.partitionBy(*own).orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > F.when(F.col("phrase"), 0).otherwise(SLACK)
     island = F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(by_diagonal)
-    merged = votes.withColumn("island", island).groupBy(*own, "island").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("start"), F.max("last").alias("last")
+    marked = hits.withColumn("diagonal", diagonal).withColumn("island", island)
+    met = marked.groupBy(*own, "island", "at").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    merged = met.groupBy(*own, "island").agg(
+        F.count("*").alias("votes"), F.min("first").alias("start"), F.max("last").alias("last")
     )
     width = F.when(F.col("phrase"), 2).otherwise(3)
-    coverage = F.least(F.col("votes") / F.col("total"), F.lit(1.0))
+    coverage = F.col("votes") / F.col("total")
     spans = merged.select(
         "id", "text_hash", "label", "phrase", "total", "start", (F.col("last") + width).alias("end"), coverage.alias("coverage")
     )
@@ -112,11 +117,20 @@ def spans_of(hits: DataFrame) -> DataFrame:
     return spans.where(exact | near).drop("total")
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+def scan_licenses(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    phrases: dict[str, str] = PHRASES,
+    templates: dict[str, str] = TEMPLATES,
+) -> DataFrame:
+    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    ``phrases`` (two words or more) and ``templates`` (three or more) map labels to lower-case words.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), words_of(text).alias("words"))
-    found = spans_of(hits_of(named)).groupBy("id", "text_hash").agg(
+    found = spans_of(hits_of(named, phrases, templates)).groupBy("id", "text_hash").agg(
         F.sum(F.col("phrase").cast("long")).alias("n_base"),
         F.min(F.when(F.col("phrase"), F.col("start"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("phrase"), F.col("start"))).cast("long").alias("last_word"),
