@@ -6,11 +6,12 @@ that are only reported when the decoded bytes hold together:
 ``der``   base64 or hex text that decodes to one DER SEQUENCE whose nested lengths add up exactly and
           which starts as a key does (a version or modulus INTEGER, or an algorithm identifier)
 ``ssh``   base64 text of length-prefixed fields, the first naming an SSH key type, or an OpenSSH
-          private key container
+          private key container whose cipher, key derivation, public keys and private part fill it exactly
 ``pem``   a PEM block whose label names a key and whose body is one of the above
 ``token`` a signed token of three base64url parts whose header is a JSON object with ``alg``
 
-Offsets count code points, ends are exclusive. NULL and empty texts have no spans. Rows are scanned
+Hex is decoded in either case. Decoded keys have at least ``MIN_BYTES`` bytes. Texts of any length are
+scanned whole; of spans with equal starts the kind listed first comes first. Offsets count code points, ends are exclusive. NULL and empty texts have no spans. Rows are scanned
 one by one, so repeated rows give repeated results; an empty table gives an empty one; other columns
 are ignored.
 """
@@ -37,7 +38,9 @@ ASSIGN = re.compile(
 ASSIGN_STEMS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+ANY_HEX = re.compile(r"[0-9A-Fa-f]{32,}")
+ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{22,}={0,2}")
+MIN_BYTES = 16
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 SSH_TYPES = (b"ssh-", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-")
@@ -90,23 +93,39 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
-    if data.startswith(SSH_CONTAINER):
-        return True
+def ssh_fields(data: bytes, count: int | None = None) -> tuple[list[bytes], bytes] | None:
+    """The first ``count`` length-prefixed fields (all without it) and what follows them; None if they are cut off."""
     at, fields = 0, []
-    while at < len(data):
-        if at + 4 > len(data):
-            return False
-        length = int.from_bytes(data[at : at + 4], "big")
-        at += 4 + length
-        if at > len(data):
-            return False
-        fields.append(data[at - length : at])
-    return len(fields) >= 2 and fields[0].startswith(SSH_TYPES)
+    while len(fields) < count if count is not None else at < len(data):
+        stop = at + 4 + int.from_bytes(data[at : at + 4], "big")
+        if at + 4 > len(data) or stop > len(data):
+            return None
+        fields.append(data[at + 4 : stop])
+        at = stop
+    return fields, data[at:]
+
+
+def is_public_key(data: bytes) -> bool:
+    found = ssh_fields(data)
+    return found is not None and len(found[0]) >= 2 and found[0][0].startswith(SSH_TYPES)
+
+
+def is_ssh_key(data: bytes) -> bool:
+    """A public key, or a container: cipher, key derivation and its options, then counted public keys and one private part."""
+    if not data.startswith(SSH_CONTAINER):
+        return is_public_key(data)
+    head = ssh_fields(data[len(SSH_CONTAINER) :], 3)
+    if head is None or not head[0][0] or not head[0][1] or len(head[1]) < 4:
+        return False
+    keys = int.from_bytes(head[1][:4], "big")
+    rest = ssh_fields(head[1][4:])
+    if rest is None or not keys or len(rest[0]) != keys + 1:
+        return False
+    return all(map(is_public_key, rest[0][:-1])) and bool(rest[0][-1])
 
 
 def key_kind(data: bytes | None) -> str | None:
-    if data is None or len(data) < 16:
+    if data is None or len(data) < MIN_BYTES:
         return None
     return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
 
@@ -132,6 +151,10 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
         digits = m.group()
         if len(digits) % 2 == 0 and (kind := key_kind(bytes.fromhex(digits))):
             spans.append((m.start(), KINDS.index(kind), m.end()))
+    for m in ANY_HEX.finditer(text):
+        digits = m.group()
+        if digits != digits.lower() and len(digits) % 2 == 0 and (kind := key_kind(bytes.fromhex(digits))):
+            spans.append((m.start(), KINDS.index(kind), m.end()))
     for m in ENCODED.finditer(text):
         if kind := key_kind(decode_base64(m.group())):
             spans.append((m.start(), KINDS.index(kind), m.end()))

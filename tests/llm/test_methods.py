@@ -230,3 +230,46 @@ def test_verbatim_items_of_the_table(spark):
     want = {(i, j) for i, t in docs for j, x in items if words(x) in words(t)}
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op3_decontamination"](spark, FOLDER).collect()}
     assert want and want <= got
+
+
+def test_repeated_words_of_a_license_vote_once(spark):
+    """One part of a template met over and over is no larger part of it."""
+    whole = license_scan.TEMPLATES["gpl-3.0"]
+    texts = [" ".join(["gnu general public"] * 4), whole, f"{whole} {whole}", f"it comes under gnu general public license version 3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan_licenses(docs).collect()}
+    assert got[0] == ("", 0.0)
+    assert got[1] == got[2] == ("gpl,gpl-3.0", 1.0)
+    assert got[3][0] == "gpl,gpl-3.0"
+
+
+def test_templates_of_the_caller(spark):
+    docs = spark.createDataFrame([(1, "You may copy this freely, as you like."), (2, "all rights reserved")], "doc_id long, text string")
+    got = license_scan.scan_licenses(docs, phrases={"free": "copy this freely"}, templates={"own": "you may copy this freely as you like"})
+    assert sorted((r["doc_id"], r["labels"]) for r in got.collect()) == [(1, "free,own"), (2, "")]
+
+
+def container(*parts: bytes, keys: int = 1) -> bytes:
+    framed = [len(p).to_bytes(4, "big") + p for p in parts]
+    return b"openssh-key-v1\x00" + b"".join(framed[:3]) + keys.to_bytes(4, "big") + b"".join(framed[3:])
+
+
+def test_ssh_containers_are_parsed_to_their_end():
+    good = container(b"none", b"none", b"", SSH, bytes(64))
+    assert secret_scan.is_ssh_key(good)
+    bad = [
+        b"openssh-key-v1\x00garbage here",
+        good[:-1],
+        good + b"x",
+        container(b"none", b"none", b"", SSH, bytes(64), keys=2),
+        container(b"none", b"none", b"", b"garbage", bytes(64)),
+        container(b"", b"none", b"", SSH, bytes(64)),
+    ]
+    assert not any(map(secret_scan.is_ssh_key, bad))
+
+
+def test_keys_in_hex_of_either_case():
+    key = bytes.fromhex("3010") + bytes.fromhex("020100") + bytes.fromhex("040b") + bytes(11)
+    for digits in (key.hex(), key.hex().upper(), key.hex()[:20] + key.hex()[20:].upper()):
+        kinds = [secret_scan.KINDS[k] for _, k, _ in secret_scan.find_secrets(f"key {digits} end")]
+        assert kinds.count("der") == 1
