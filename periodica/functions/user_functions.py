@@ -227,14 +227,19 @@ def sql_aggregate(spark: SparkSession, name: str, handler: type, returns: T.Data
     spark.udf.register(name, F.arrow_udf(merged, returns))
 
 
-def _runs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of one key together and in a row.
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of one key together.
 
     Python work is not visible in the row sizes that adaptive coalescing goes by; a set number of
     partitions keeps it spread over all cores.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, *keys).sortWithinPartitions(*keys)
+    return df.repartition(tasks, *keys)
+
+
+def _runs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of one key together and in a row."""
+    return _spread(df, keys).sortWithinPartitions(*keys)
 
 
 def grouped_apply(
@@ -269,4 +274,4 @@ def grouped_apply(
         return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
 
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) == 1
-    return _runs(df, keys).withColumn("_first", first).mapInPandas(run, schema)
+    return _spread(df, keys).withColumn("_first", first).mapInPandas(run, schema)
