@@ -12,6 +12,7 @@ from periodica.catalog.registry import query
 from periodica.functions import scalars as S
 from periodica.functions.user_functions import (
     grouped_apply,
+    in_pieces,
     python_aggregate,
     python_scalar,
     sql_aggregate,
@@ -323,18 +324,14 @@ def python_aggregate_keys(spark, folder):
 
 @query("sql_python_aggregate", SPREAD_BY_WIDE_KEY)
 def sql_python_aggregate(spark, folder):
-    """A Python aggregate called from SQL, over pieces of groups and then over their states."""
+    """A Python aggregate called from SQL, over pieces of large groups and then over their states."""
     sql_aggregate(spark, "spread", spread_handler(), T.DoubleType())
-    table(spark, folder, "lineitem").createOrReplaceTempView("spread_input")
+    rows = table(spark, folder, "lineitem").select(F.expr(WIDE_KEY).alias("wide_key"), "l_quantity")
+    in_pieces(rows, ["wide_key"]).createOrReplaceTempView("spread_input")
     return spark.sql(
-        f"""
+        """
         SELECT wide_key, spread(state) AS spread
-        FROM (
-          SELECT wide_key, spread_state(l_quantity) AS state
-          FROM (
-            SELECT {WIDE_KEY} AS wide_key, l_quantity, monotonically_increasing_id() DIV 100000 AS piece
-            FROM spread_input)
-          GROUP BY wide_key, piece)
+        FROM (SELECT wide_key, spread_state(l_quantity) AS state FROM spread_input GROUP BY wide_key, piece)
         GROUP BY wide_key"""
     )
 

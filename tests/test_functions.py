@@ -7,7 +7,14 @@ from pyspark.sql import types as T
 
 from periodica.fixed_values import SURROGATE_KEY_NULL
 from periodica.functions import scalars as S
-from periodica.functions.user_functions import grouped_apply, python_aggregate, python_scalar, sql_aggregate, sql_scalar
+from periodica.functions.user_functions import (
+    grouped_apply,
+    in_pieces,
+    python_aggregate,
+    python_scalar,
+    sql_aggregate,
+    sql_scalar,
+)
 
 
 def one(spark, value, column):
@@ -186,6 +193,31 @@ def test_python_aggregate_called_from_sql(spark):
     assert {tuple(r) for r in got.collect()} == {(WIDE, 2.5), (None, 2.0), (WIDE - 1, 8.0)}
 
 
+def test_only_large_groups_are_cut(spark, rows):
+    """Rows of 500 small keys lie all over the tasks, between those of two large ones; NULL is a large one."""
+    df = spark.range(0, 20_000, 1, 8).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN -1 ELSE id % 500 END AS k", "cast(id AS double) AS v"
+    )
+    cut = in_pieces(df, ["k"], rows=1_000)
+    assert cut.columns == ["k", "v", "piece"]
+    assert rows(cut.drop("piece")) == rows(df)
+    counts = cut.groupBy("k", "piece").count().groupBy("k").agg(F.count("*").alias("n"), F.max("count").alias("most"))
+    pieces = {r.k: r.n for r in counts.collect()}
+    assert len(pieces) == 252 and {k: n for k, n in pieces.items() if n > 1} == {None: 5, -1: 5}
+    assert all(r.most < 1_200 for r in counts.collect())
+
+
+def test_sql_query_hands_over_each_small_group_once(spark, tmp_path):
+    """One call per key of a table in many files, not one per key and file."""
+    from periodica.catalog import QUERIES
+
+    lines = spark.range(0, 6_000, 1, 6).selectExpr("id AS l_orderkey", "id % 300 AS l_suppkey", "cast(id % 50 AS double) AS l_quantity")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = QUERIES["sql_python_aggregate"](spark, str(tmp_path))
+    assert got.count() == 301
+    assert spark.table("spread_input").groupBy("wide_key", "piece").count().count() == 301
+
+
 def test_grouped_apply_tells_null_from_nan(spark):
     df = spark.createDataFrame([(None, 1), (float("nan"), 2), (float("nan"), 3), (1.0, 4)], "k double, v int")
 
