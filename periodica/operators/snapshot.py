@@ -25,6 +25,7 @@ logger = logging.getLogger(__name__)
 # What a run does with a row, as ``changes`` marks it.
 KIND = "_kind"
 KEPT, CLOSED, OPENED, FLAGGED = "kept", "closed", "opened", "flagged"
+SHORT = "_short"
 
 
 @dataclass(frozen=True)
@@ -90,13 +91,13 @@ def _is_open(cfg: SnapshotConfig) -> Column:
     return end.isNull() | (end == _open_value(cfg))
 
 
-def _version_time(cfg: SnapshotConfig, now) -> Column:
-    return _moment(F.col(cfg.updated_at) if cfg.updated_at else now)
+def _version_time(cfg: SnapshotConfig, now, at: str = "") -> Column:
+    return _moment(F.col(at + cfg.updated_at) if cfg.updated_at else now)
 
 
-def _version_id(source: DataFrame, cfg: SnapshotConfig, now) -> Column:
-    keys = [_as_text(F.col(k), find(source.schema, k).dataType) for k in cfg.keys]
-    return version_hash(*keys, canonical_time(_version_time(cfg, now)))
+def _version_id(source: DataFrame, cfg: SnapshotConfig, now, at: str = "") -> Column:
+    keys = [_as_text(F.col(at + k), find(source.schema, k).dataType) for k in cfg.keys]
+    return version_hash(*keys, canonical_time(_version_time(cfg, now, at)))
 
 
 def initial(source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
@@ -141,6 +142,14 @@ def _versioned(source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
     return versioned.withColumn(cfg.names.updated_at, _version_time(cfg, now))
 
 
+def _versioned_new(pairs: DataFrame, source: DataFrame, cfg: SnapshotConfig, now) -> DataFrame:
+    """``_versioned`` for pairs whose _new holds the source's columns, so that ids and times need not be shuffled."""
+    made = {cfg.names.scd_id: _version_id(source, cfg, now, "_new."), cfg.names.updated_at: _version_time(cfg, now, "_new.")}
+    cells = {c: F.col(f"_new.{c}") for c in source.columns} | made
+    versioned = F.struct(*[cell.alias(name) for name, cell in cells.items()])
+    return pairs.withColumn("_new", F.when(F.col("_new").isNotNull(), versioned))
+
+
 def _outcome(
     layout: T.StructType, source: DataFrame, held: Sequence[str], cfg: SnapshotConfig, now, mark: bool = False
 ) -> Column:
@@ -222,18 +231,24 @@ def changes(open_rows: DataFrame, closed_ids: DataFrame, source: DataFrame, cfg:
     held = list(open_rows.columns)
     open_rows, source = _aligned(open_rows, source, cfg)
     layout = open_rows.schema
-    fresh = _versioned(source, cfg, now)
     if cfg.hard_deletes == "ignore":
-        open_rows = rows_with(open_rows, fresh, cfg.keys)
-    marked = _pair(open_rows, fresh, cfg.keys).select(F.inline(_outcome(layout, source, held, cfg, now, mark=True)))
+        open_rows = rows_with(open_rows, source, cfg.keys)
+    pairs = _versioned_new(_pair(open_rows, source, cfg.keys), source, cfg, now)
+    marked = pairs.select(F.inline(_outcome(layout, source, held, cfg, now, mark=True)))
     marked = marked.where(F.col(KIND) != KEPT)
     if cfg.versions_unique:
         return marked
-    # A version that is already there, closed, is not opened again.
-    there = rows_with(closed_ids, fresh, [n.scd_id])
+    # A version that is already there, closed, is not opened again. The closed ids are cut to those that may be the
+    # source's by a short hash of the id, which moves less; the ids themselves decide.
+    ids = source.select(_version_id(source, cfg, now).alias(n.scd_id))
+    there = rows_with(_short(closed_ids, n.scd_id), _short(ids, n.scd_id), [SHORT]).drop(SHORT)
     return rows_without(marked, there, [n.scd_id], F.col(KIND) == OPENED)
 
 
+def _short(ids: DataFrame, name: str) -> DataFrame:
+    return ids.withColumn(SHORT, F.xxhash64(name))
+
+
 def _mark_seen(fresh: DataFrame, closed: DataFrame, cfg: SnapshotConfig) -> DataFrame:
     """Flag source rows whose version is already in the history, closed.
 

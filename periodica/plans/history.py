@@ -17,19 +17,24 @@ nothing and are closed or kept as ``snapshot.apply`` does it.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.operators import snapshot
-from periodica.operators.joins import rows_without
 from periodica.plans.partitioned import partitions_of
-from periodica.plans.tables import overwrite_partitions
+from periodica.plans.tables import write_partitions
 
 RUN, BUCKET = "_run", "bucket"
 STAGED, DONE = "staged", "done"
+# Ids are hexadecimal text, which this packs to half of what the default does.
+PACKED = {"compression": "zstd"}
+# What a row is when changes meet the open rows.
+WAS = "_was"
+HELD, ENDED, ADDED = 0, 1, 2
 MARKS = "run long, mark string, buckets int, layout string"
 
 
@@ -82,6 +87,23 @@ def _bucket(cfg: snapshot.SnapshotConfig, buckets: int):
     return F.pmod(F.xxhash64(*cfg.keys), F.lit(buckets)).cast("int")
 
 
+def _without_ended(rows: DataFrame, version: str) -> DataFrame:
+    """Rows without the held ones that have ended, by bucket.
+
+    Held rows are moved once, by ranges of (bucket, id): a range is a few files of a bucket at most, and has all
+    rows of an id.
+    """
+    ended = F.max(F.col(WAS) == ENDED).over(Window.partitionBy(BUCKET, version))
+    ranged = rows.repartitionByRange(BUCKET, version).withColumn("_ended", ended)
+    stays = (F.col(WAS) == ADDED) | ((F.col(WAS) == HELD) & ~F.col("_ended"))
+    return ranged.where(stays).drop(WAS, "_ended")
+
+
+def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the buckets that ``rows`` has rows for."""
+    write_partitions(rows, path, partition_by, **PACKED)
+
+
 def _apply_changes(spark: SparkSession, root: str, cfg: snapshot.SnapshotConfig, marks: Marks) -> None:
     """Bring the buckets that run ``marks.staged`` changes to their state after it."""
     run, layout = marks.staged, marks.layout
@@ -90,12 +112,15 @@ def _apply_changes(spark: SparkSession, root: str, cfg: snapshot.SnapshotConfig,
     touched = sorted(r[BUCKET] for r in partitions_of(changed, [BUCKET]))
     if touched:
         held = _open_rows(spark, root, layout).where(F.col(BUCKET).isin(touched) & (F.col(RUN) != run))
-        kept = rows_without(held, changed.where(F.col(snapshot.KIND) == snapshot.CLOSED), [cfg.names.scd_id])
-        opened = changed.where(F.col(snapshot.KIND) != snapshot.CLOSED).drop(snapshot.KIND)
-        opened = opened.withColumn(RUN, F.lit(run).cast("long"))
+        is_closed = F.col(snapshot.KIND) == snapshot.CLOSED
+        ended = changed.where(is_closed).select(cfg.names.scd_id, BUCKET)
+        opened = changed.where(~is_closed).drop(snapshot.KIND).withColumn(RUN, F.lit(run).cast("long"))
         guards = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int")
-        rows = kept.unionByName(opened).unionByName(guards, allowMissingColumns=True)
-        overwrite_partitions(rows, f"{root}/open", [BUCKET])
+        parts = [(held, HELD), (ended, ENDED), (opened, ADDED), (guards, ADDED)]
+        rows, *others = [part.withColumn(WAS, F.lit(was)) for part, was in parts]
+        for other in others:
+            rows = rows.unionByName(other, allowMissingColumns=True)
+        overwrite_partitions(_without_ended(rows, cfg.names.scd_id), f"{root}/open", [BUCKET])
     _mark(spark, root, run, DONE, marks.buckets, layout)
 
 
@@ -113,10 +138,13 @@ def advance(
     if marks.staged is not None and run <= marks.staged:
         return
     layout = marks.layout or snapshot.initial(source.limit(0), cfg, now).schema
-    open_rows = _open_rows(spark, root, layout).drop(RUN, BUCKET)
-    closed_ids = _closed(spark, root, layout, run - 1).select(cfg.names.scd_id)
-    changed = snapshot.changes(open_rows, closed_ids, source, cfg, now)
-    changed.write.mode("overwrite").partitionBy(snapshot.KIND).parquet(f"{root}/changes/run={run}")
+    if marks.staged is None:
+        changed = snapshot.initial(source, cfg, now).withColumn(snapshot.KIND, F.lit(snapshot.OPENED))
+    else:
+        open_rows = _open_rows(spark, root, layout).drop(RUN, BUCKET)
+        closed_ids = _closed(spark, root, layout, run - 1).select(cfg.names.scd_id)
+        changed = snapshot.changes(open_rows, closed_ids, source, cfg, now)
+    changed.write.mode("overwrite").options(**PACKED).partitionBy(snapshot.KIND).parquet(f"{root}/changes/run={run}")
     after = T.StructType([f for f in changed.schema if f.name != snapshot.KIND])
     marks = Marks(run, marks.done, marks.buckets or buckets, after)
     _mark(spark, root, run, STAGED, marks.buckets, after)

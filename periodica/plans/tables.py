@@ -55,9 +55,14 @@ def clustered_write(
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows for."""
+    write_partitions(partitioned.evenly(df, partition_by), path, partition_by)
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], **options) -> None:
+    """``overwrite_partitions`` for rows whose partitions lie together in few tasks already."""
     (
-        partitioned.evenly(df, partition_by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
+        .options(**options)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

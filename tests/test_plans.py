@@ -10,6 +10,7 @@ from periodica.operators import checks, incremental, joins
 from periodica.operators.dedupe import attach_latest, keep_latest
 from periodica.operators.series import add_metrics
 from periodica.operators.snapshot import SnapshotConfig, apply, changes, initial
+from periodica.plans import history as stored_history
 
 PACKAGE = Path(__file__).resolve().parents[1] / "periodica"
 
@@ -81,6 +82,18 @@ def test_small_source_moves_no_open_row(orders, tmp_path):
         assert "BroadcastHashJoin" in text
 
 
+def test_stored_history_moves_each_row_once(orders, tight):
+    """Ids and times of new versions are made after the join, and open rows are dealt out once to drop ended ones."""
+    cfg = SnapshotConfig(keys=["id"], updated_at="ts", hard_deletes="invalidate")
+    history = initial(orders, cfg, "2025-01-01")
+    changed = changes(history.withColumn("valid_from", F.col("valid_from")), history.limit(0), orders, cfg, "2025-01-02")
+    joined = plan(changed).split("FullOuter")[1].split("Exchange hashpartitioning(_new_id")[1]
+    assert "md5" not in joined.split("FileScan")[0]
+    rows = history.select("id", "scd_id", (F.col("id") % 3).alias("_was"), (F.col("id") % 8).cast("int").alias("bucket"))
+    text = plan(stored_history._without_ended(rows, "scd_id"))
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning" in text
+
+
 def test_not_null_checks_share_one_scan(orders):
     text = plan(checks.aggregated_not_null(orders, ["id", "k", "v"]))
     assert text.count("FileScan") == 1 and "Exchange" not in text
