@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -81,21 +82,22 @@ def embed(windows: np.ndarray) -> np.ndarray:
 def edit_distance(item: list[int], region: np.ndarray) -> tuple[int, int, int]:
     """Least word edits between the item and any stretch of the region: (distance, start, end)."""
     width = len(region)
-    row = np.zeros(width + 1, dtype=np.int64)
-    origin = np.arange(width + 1)
+    ramp = np.arange(width + 1)
+    # Distances are held less their place, so that a word the item lacks (cost 1, place 1) leaves them as they are.
+    row, origin = -ramp, ramp
+    new, came = np.empty_like(row), np.empty_like(origin)
     for i, word in enumerate(item, 1):
-        new, came = np.empty_like(row), np.empty_like(origin)
         new[0], came[0] = i, 0
         swap = row[:-1] + (region != word)
+        swap -= 1
         drop = row[1:] + 1
         take = swap <= drop
-        new[1:] = np.where(take, swap, drop)
+        np.minimum(swap, drop, out=new[1:])
         came[1:] = np.where(take, origin[:-1], origin[1:])
-        # A word of the region that the item lacks: cost 1 from the left neighbour.
-        ramp = np.arange(width + 1)
-        reached = np.minimum.accumulate(new - ramp) + ramp
-        source = np.maximum.accumulate(np.where(new - ramp == reached - ramp, ramp, 0))
-        row, origin = reached, came[source]
+        # A word of the region that the item lacks comes from the left neighbour.
+        row = np.minimum.accumulate(new)
+        origin = came[np.maximum.accumulate(ramp * (new == row))]
+    row = row + ramp
     end = int(np.argmin(row))
     return int(row[end]), int(origin[end]), end
 
@@ -118,6 +120,9 @@ class Items:
         self.gram_item = np.array([g[1] for g in grams], dtype=np.int64)
         self.gram_at = np.array([g[2] for g in grams], dtype=np.int64)
         self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.allowed = np.array([tolerance(int(n)) for n in self.lengths], dtype=np.int64)
+        self.needed = np.maximum(1, self.lengths - Q + 1 - Q * self.allowed)
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         self.tables: dict[int, dict[tuple[int, int], list[int]]] = {}
         for length in sorted(set(self.lengths.tolist())):
             same = np.flatnonzero(self.lengths == length)
@@ -152,8 +157,7 @@ class Items:
         item, start = self.gram_item[entry], text_at - self.gram_at[entry]
         order = np.lexsort((start, item))
         item, start = item[order], start[order]
-        allowed = np.array([tolerance(int(n)) for n in self.lengths])
-        needed = np.maximum(1, self.lengths - Q + 1 - Q * allowed)
+        allowed, needed = self.allowed, self.needed
         # Hits of the same item whose offsets are within the tolerance on either side.
         span = int(start.max() - start.min()) + 2 * int(allowed.max()) + 2
         line = item * span + (start - start.min())
@@ -185,6 +189,12 @@ class Items:
                             found[number].add((item, start))
         return found
 
+    def common_words(self, item: int, region: np.ndarray) -> int:
+        """How many of the item's words, repeats counted, the region has in any order."""
+        kinds, counts = self.bags[item]
+        at = np.minimum(np.searchsorted(kinds, region), len(kinds) - 1)
+        return int(np.minimum(np.bincount(at[kinds[at] == region], minlength=len(kinds)), counts).sum())
+
     def verify(self, words: np.ndarray, item: int, start: int) -> tuple[int, int, int] | None:
         """(distance, start, end) of the best stretch around a window, if it is close enough."""
         target = self.words[item]
@@ -193,12 +203,18 @@ class Items:
         allowed = tolerance(len(target))
         low = max(0, start - 2 * allowed)
         region = words[low : max(low, start + len(target) + 2 * allowed)]
+        # Each word of the item that the region lacks costs an edit.
+        if len(target) - self.common_words(item, region) > allowed:
+            return None
         distance, first, end = edit_distance(target.tolist(), region)
         return (distance, low + first, low + end) if distance <= allowed else None
 
     def matches(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """Per text, (item id, distance, start word, end word): the best stretch for each item."""
-        numbers = [np.array([self.vocabulary.get(w, 0) for w in words_of(t)], dtype=np.int64) for t in texts]
+        numbers = []
+        for text in texts:
+            words = words_of(text)
+            numbers.append(np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words)))
         windows = [self.windows(words) for words in numbers]
         result = []
         for words, met in zip(numbers, self.collide(numbers, windows), strict=True):

@@ -273,3 +273,38 @@ def test_keys_in_hex_of_either_case():
     for digits in (key.hex(), key.hex().upper(), key.hex()[:20] + key.hex()[20:].upper()):
         kinds = [secret_scan.KINDS[k] for _, k, _ in secret_scan.find_secrets(f"key {digits} end")]
         assert kinds.count("der") == 1
+
+
+def test_edit_distance_is_the_plain_one():
+    rng = np.random.default_rng(5)
+
+    def plain(item, stretch):
+        row = list(range(len(stretch) + 1))
+        for i, word in enumerate(item, 1):
+            new = [i]
+            for j, other in enumerate(stretch, 1):
+                new.append(min(row[j - 1] + (word != other), row[j] + 1, new[j - 1] + 1))
+            row = new
+        return row[-1]
+
+    for _ in range(150):
+        item, region = rng.integers(1, 5, rng.integers(1, 9)).tolist(), rng.integers(0, 5, rng.integers(0, 12))
+        distance, start, end = decontamination.edit_distance(item, region)
+        stretches = [region[a:b].tolist() for a in range(len(region) + 1) for b in range(a, len(region) + 1)]
+        assert distance == plain(item, region[start:end].tolist()) == min(plain(item, s) for s in stretches)
+
+
+def test_regions_that_lack_too_many_words_are_not_aligned(monkeypatch):
+    """A passage that shares only a stretch with an item is refuted by its words alone; close ones are found as before."""
+    words = [f"w{i}" for i in range(20)]
+    items = decontamination.Items([(1, " ".join(words))])
+    near = [*words[:7], "other", *words[8:14], *words[15:]]
+    assert [m[0][:2] for m in items.matches([" ".join(["pre", *near, "post"])])] == [(1, 2)]
+    assert items.common_words(0, np.array([1, 1, 2, 0, 0])) == 2
+
+    def never(*args):
+        raise AssertionError("aligned")
+
+    monkeypatch.setattr(decontamination, "edit_distance", never)
+    text = np.array([items.vocabulary.get(w, 0) for w in [*words[:12], *["other"] * 8]])
+    assert items.verify(text, 0, 0) is None
