@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -143,7 +143,9 @@ def advance(
     else:
         open_rows = _open_rows(spark, root, layout).drop(RUN, BUCKET)
         closed_ids = _closed(spark, root, layout, run - 1).select(cfg.names.scd_id)
-        changed = snapshot.changes(open_rows, closed_ids, source, cfg, now)
+        # Without a closed version none can come back, and what is opened need not meet the closed ids.
+        looked_up = replace(cfg, versions_unique=cfg.versions_unique or closed_ids.isEmpty())
+        changed = snapshot.changes(open_rows, closed_ids, source, looked_up, now)
     changed.write.mode("overwrite").options(**PACKED).partitionBy(snapshot.KIND).parquet(f"{root}/changes/run={run}")
     after = T.StructType([f for f in changed.schema if f.name != snapshot.KIND])
     marks = Marks(run, marks.done, marks.buckets or buckets, after)

@@ -80,6 +80,17 @@ def test_second_run_writes_only_what_changes(spark, tmp_path):
     assert files(root, "open") == after[0]
 
 
+def test_closed_ids_are_looked_up_where_there_are_any(spark, tmp_path, monkeypatch):
+    """The first two runs have no closed version; in the third run key 2 comes back with its old time and adds nothing."""
+    cfg, root = SnapshotConfig(keys=["id"], updated_at="ts", hard_deletes="invalidate"), str(tmp_path)
+    spared, changes = [], snapshot.changes
+    monkeypatch.setattr(snapshot, "changes", lambda *a: spared.append(a[3].versions_unique) or changes(*a))
+    for run, data in enumerate([[(1, "a", 0), (2, "b", 0)], [(1, "a", 0)], [(1, "a", 0), (2, "b", 0)]]):
+        stored.advance(rows_of(spark, *data), cfg, now(run), root, run, buckets=2)
+    assert spared == [True, False]
+    assert sorted((r.id, r.valid_to is None) for r in stored.history(spark, root).collect()) == [(1, True), (2, False)]
+
+
 def test_vanished_rows_empty_their_bucket(spark, tmp_path):
     cfg, root = SnapshotConfig(keys=["id"], updated_at="ts", hard_deletes="invalidate"), str(tmp_path)
     stored.advance(rows_of(spark, (1, "a", 0), (2, "b", 0)), cfg, now(0), root, 0, buckets=64)
