@@ -18,11 +18,19 @@ at_least)`` shingles lie in one of them only.
    linked with nothing when it shares fewer than ``need`` with any set. So passages that very many texts
    hold do not bring these together.
 4. Links. Sets that share a signature are verified against one hub, the one met most often. Only sets
-   that are then still in different components are compared further: by other hubs while many pairs
-   are left and hubs settle at least half of them, then all the rest. Pairs that share fewer
-   signatures than they need are no links and are not verified. So a pair that shares a
-   signature ends up refuted, verified or inside one component, and components are exact.
-5. Components by least labels and pointer jumping, in rounds over stored tables.
+   that are then still in different components are compared further. Where ``FEW_PAIRS`` pairs a set
+   or fewer are left under a signature, they are compared at once; pairs that share fewer signatures
+   than they need are no links and are not verified.
+5. Finer signatures. Sets that share a more frequent signature are compared with its hub, which gives
+   the shingles in one of the two only. Sets that differ from the hub by a and b shingles and link have
+   more than (a + b - most) / 2 of these in common. As one of them at least is not linked to
+   the hub, that is about half of the other's or more, so that linked sets share one of their rarest differences: a prefix filter over
+   differences. Hub and difference together are the signatures of the next round, with a hub of their
+   own, until no pair is left. Members of a large group that are alike without being linked thus
+   meet over what few of them have instead of what all of them have. If a round leaves over half of
+   the pairs open, the rest is compared at once. So a pair that shares a signature ends up refuted,
+   verified or inside one component, and components are exact.
+6. Components by least labels and pointer jumping, in rounds over stored tables.
 
 NULL and empty texts have empty sets and link with nothing. Rows repeated with their id share a
 component; a row with a NULL id has a NULL component. An empty table gives an empty result; other
@@ -38,7 +46,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodica.llm.common import WordHashes, bucket_of, mix, slices, stored, word_hashes
@@ -48,8 +56,11 @@ BAND = 1.5
 SPARE = 2
 # Signatures of a set that are kept beyond those it need not share.
 KEPT = 3
-# Open pairs per signature row that are few enough to be compared at once.
-FEW_PAIRS = 8
+# Open pairs per set of a signature that are few enough to be compared at once.
+FEW_PAIRS = 4
+# Differing shingles that a task hands over at once.
+HELD_SHINGLES = 1 << 20
+DIFFERENCES = "a long, b long, linked boolean, near long, far long, diff array<long>"
 # A signature ends in its band's number; bands reach far beyond any text.
 LABEL_BITS = 6
 BAND_LIMIT = 1 << 33
@@ -72,6 +83,18 @@ class Overlap:
     def linked(self, shared: int, sizes: int) -> bool:
         return self.of * shared >= self.at_least * (sizes - shared) and shared > 0
 
+    def prefixes(self, apart: int, size: int, hub: int) -> tuple[int, int]:
+        """How many of its ``apart`` differences from a hub of ``hub`` shingles a set has to look at.
+
+        Sets that differ from the hub by a and b shingles and from each other by x have (a + b - x) / 2 of these
+        differences in common. The first number serves for partners not linked to the hub, b > (|B| + |hub|) * r,
+        the second for linked ones, when this set is not.
+        """
+        more, less = self.of + self.at_least, self.of - self.at_least
+        common = (apart * more + (hub - size) * less) // (2 * more) + 1
+        least = max(1, -(((size + hub) * less - apart * more) // (2 * more)))
+        return apart - common + 1, apart - least + 1
+
     def groups(self, label: int) -> int:
         """Groups of three parts for the sets that sign for a band; 0 if only equal sets of it link."""
         most = self.differing(2 * (band_ends(BAND_LIMIT)[label + 1] - 1))
@@ -183,23 +206,33 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(small, pa.binary())], names=["id", "text"])
 
 
-def _verify(rule: Overlap, k: int):
-    """(a, b, text_a, text_b) -> the linked (a, b); rows come in runs of one b."""
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, Iterator]]:
+    """Batches of (a, b, text_a, text_b), each with its rows' two shingle sets; rows come in runs of one b."""
+    known, open_ = WordHashes(), zstandard.ZstdDecompressor()
+    last, hub = None, None
+
+    def shingles(data: bytes) -> np.ndarray:
+        return shingle_hashes(word_hashes([open_.decompress(data)], known, lower=True)[0], k)
+
+    def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        nonlocal last, hub
+        columns = [batch.column(n).to_pylist() for n in ("b", "text_a", "text_b")]
+        for b, text_a, text_b in zip(*columns, strict=True):
+            if b != last:
+                last, hub = b, shingles(text_b)
+            yield shingles(text_a), hub
+
+    for batch in batches:
+        yield batch, pairs(batch)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, open_ = WordHashes(), zstandard.ZstdDecompressor()
 
-        def shingles(data: bytes) -> np.ndarray:
-            return shingle_hashes(word_hashes([open_.decompress(data)], known, lower=True)[0], k)
+def _verify(rule: Overlap, k: int):
+    """(a, b, text_a, text_b) -> the linked (a, b)."""
 
-        last, hub = None, None
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, pairs in _sets(batches, k):
             linked = []
-            columns = [batch.column(n).to_pylist() for n in ("b", "text_a", "text_b")]
-            for b, text_a, text_b in zip(*columns, strict=True):
-                if b != last:
-                    last, hub = b, shingles(text_b)
-                own = shingles(text_a)
+            for own, hub in pairs:
                 shared = len(np.intersect1d(own, hub, assume_unique=True))
                 linked.append(rule.linked(shared, len(own) + len(hub)))
             kept = batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
@@ -208,6 +241,33 @@ def _verify(rule: Overlap, k: int):
     return run
 
 
+def _differ(rule: Overlap, k: int):
+    """(a, b, text_a, text_b) -> ``DIFFERENCES``: whether a links to its hub b, and the shingles only one of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, pairs in _sets(batches, k):
+            ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+            rows, held = [], 0
+            for (a, b), (own, hub) in zip(ids, pairs, strict=True):
+                diff = np.setxor1d(own, hub, assume_unique=True)
+                shared = (len(own) + len(hub) - len(diff)) // 2
+                linked = rule.linked(shared, len(own) + len(hub))
+                near, far = rule.prefixes(len(diff), len(own), len(hub))
+                rows.append((a, b, linked, near, 0 if linked else far, diff.view(np.int64)))
+                held += len(diff)
+                if held >= HELD_SHINGLES:
+                    yield _rows(rows)
+                    rows, held = [], 0
+            yield _rows(rows)
+
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked", "near", "far", "diff"])
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for the ids in ``links`` (a, b): the least id reachable."""
     ways = stored(links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).distinct(), "ways")
@@ -252,65 +312,108 @@ def possible_pairs(met: DataFrame, rule: Overlap) -> DataFrame:
     return shared.where(close & (F.col("n") >= F.least("need_a", "need_b", F.lit(KEPT)))).select("a", "b").distinct()
 
 
+def finer_signatures(differences: DataFrame) -> DataFrame:
+    """(sig, id, side) that pairs around a hub share when they are linked, not both to the hub: rare differences from it.
+
+    Sets with side 1 (linked to the hub) are to be compared with those of side 2 (not linked) only.
+    """
+    each = differences.withColumn("all", F.size("diff")).withColumn("e", F.explode("diff")).drop("diff")
+    many = each.groupBy("b", "e").agg(F.count("*").alias("n")).where("n > 1").select(F.struct("b", "e").alias("key"), "n")
+    each = each.join(many, F.struct("b", "e") == F.col("key"))
+    own = each.groupBy("a", "b", "linked", "near", "far", "all").agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("own"))
+    alone = F.col("all") - F.size("own")
+
+    def first(count: str, side: Column) -> Column:
+        rarest = F.slice("own", F.lit(1), F.greatest(F.col(count) - alone, F.lit(0)).cast("int"))
+        space = F.when(side > 0, F.lit(1)).otherwise(F.lit(0))
+        return F.transform(rarest, lambda x: F.struct(F.xxhash64("b", x["e"], space).alias("sig"), side.alias("side")))
+
+    near = first("near", F.when(F.col("linked"), F.lit(1)).otherwise(F.lit(0)))
+    far = first("far", F.lit(2))
+    return own.select(F.col("a").alias("id"), F.inline(F.concat(near, far))).select("sig", "id", "side")
+
+
 def link_components(live: DataFrame, texts: DataFrame, rule: Overlap, k: int) -> DataFrame:
     """(id, component) of all ids in ``live`` (sig, id, size, need, n) that have a link; ``texts`` are compressed."""
     spark = live.sparkSession
     degree = live.groupBy("id").agg(F.sum("n").alias("degree")).select(F.struct("id").alias("key"), "degree")
-    ranked = live.join(degree, F.struct("id") == F.col("key")).select("sig", "id", "size", "need", "degree")
-    ranked = stored(ranked, "ranked")
-    rows = ranked.count()
+    ranked = live.join(degree, F.struct("id") == F.col("key"))
+    ranked = stored(ranked.select("sig", "id", F.lit(0).alias("side"), "size", "need", "degree"), "ranked")
+    first = texts.select(F.struct("id").alias("of_a"), F.col("text").alias("text_a"))
+    second = texts.select(F.struct("id").alias("of_b"), F.col("text").alias("text_b"))
+
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        held = pairs.join(first, F.struct(F.col("a").alias("id")) == F.col("of_a")).select("a", "b", "text_a")
+        return held.join(second, F.struct(F.col("b").alias("id")) == F.col("of_b")).select("a", "b", "text_a", "text_b")
+
     tested = links = None
     labels = spark.createDataFrame([], "id long, component long")
-    before, turn, last = None, 0, False
-    while not last:
+    before, turn = None, 0
+    while True:
         now = ranked.join(labels.select(F.struct("id").alias("of"), "component"), F.struct("id") == F.col("of"), "left")
-        now = now.select("sig", "id", "size", "need", "degree", F.coalesce("component", "id").alias("component"))
-        counts = now.groupBy("sig", "component").agg(F.count("*").alias("n")).groupBy("sig").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")
+        now = now.select("sig", "id", "side", "size", "need", "degree", F.coalesce("component", "id").alias("component"))
+        # Two sets of one signature are to be compared unless both have side 1, or both side 2.
+        counts = now.groupBy("sig", "component").agg(F.count_if(F.col("side") < 2).alias("s"), F.count_if(F.col("side") != 1).alias("g"))
+        counts = counts.groupBy("sig").agg(
+            F.sum("s").alias("s"), F.sum("g").alias("g"), F.sum(F.col("s") * F.col("g")).alias("inside")
         )
-        open_ = counts.withColumn("cross", (F.col("n") * F.col("n") - F.col("squares")) / 2).where("cross > 0")
-        open_ = stored(open_.select(F.struct("sig").alias("key"), "cross"), "open")
-        left = open_.agg(F.sum("cross").alias("n")).first()["n"]
-        if not left:
-            break
-        here = now.join(open_, F.struct("sig") == F.col("key")).select("sig", "id", "size", "need", "degree", "component")
+        open_ = counts.withColumn("cross", F.col("s") * F.col("g") - F.col("inside")).where("cross > 0")
+        few = F.col("cross") <= 2 * FEW_PAIRS * F.greatest("s", "g")
+        open_ = stored(open_.select(F.struct("sig").alias("key"), "cross", few.alias("few")), "open")
+        sums = open_.agg(F.sum("cross").alias("n"), F.sum(F.when(~F.col("few"), F.col("cross"))).alias("many")).first()
+        if not sums["n"]:
+            return labels
+        here = now.join(open_, F.struct("sig") == F.col("key")).drop("key", "cross")
         here = stored(here, "here")
-        last = before is not None and (left <= FEW_PAIRS * rows or 2 * left > before)
-        before = left
+        last = turn > 1 and 2 * sums["n"] > before
+        before = sums["n"]
         own = here.select(
-            "sig", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("need").alias("need_a"), "component"
+            "sig", "side", "few", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("need").alias("need_a"), "component"
         )
-        if last:
-            other = here.select("sig", F.struct("id", "size", "need", "component").alias("other"))
-            apart = F.col("component") < F.col("theirs")
-        else:
-            place = F.struct("degree", "id") if not turn else F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"))
-            hubs = here.select("sig", F.struct(place.alias("place"), "id", "size", "need", "component").alias("other"))
-            other = hubs.groupBy("sig").agg(F.max("other").alias("other"))
+        named = F.struct("id", "size", "need", "component")
+        hubs = here.groupBy("sig").agg(F.max(F.struct("degree", "id", named.alias("other")))["other"].alias("other"))
+
+        def beside(other: DataFrame) -> DataFrame:
+            return other.select(
+                F.struct("sig").alias("key"),
+                F.col("other.id").alias("b"),
+                F.col("other.size").alias("size_b"),
+                F.col("other.need").alias("need_b"),
+                F.col("other.component").alias("theirs"),
+            )
+
+        differences = None
+        if not turn:
             apart = F.col("component") != F.col("theirs")
-        other = other.select(
-            F.struct("sig").alias("key"),
-            F.col("other.id").alias("b"),
-            F.col("other.size").alias("size_b"),
-            F.col("other.need").alias("need_b"),
-            F.col("other.component").alias("theirs"),
-        )
-        met = own.join(other, (F.struct("sig") == F.col("key")) & apart)
-        pairs = stored(possible_pairs(met, rule), "pairs")
+            pairs = possible_pairs(own.join(beside(hubs), (F.struct("sig") == F.col("key")) & apart), rule)
+        else:
+            at_once = F.lit(True) if last else F.col("few")
+            if sums["many"] and not last:
+                met = own.where(~at_once).join(beside(hubs), (F.struct("sig") == F.col("key")) & (F.col("a") != F.col("b")))
+                around = stored(met.select("a", "b").distinct(), "around")
+                differences = stored(with_texts(around).mapInArrow(_differ(rule, k), DIFFERENCES), "differences")
+            other = here.where(at_once & (F.col("side") != 1)).select("sig", named.alias("other"))
+            apart = (F.col("component") < F.col("theirs")) | ((F.col("side") == 1) & (F.col("component") != F.col("theirs")))
+            own = own.where(at_once & (F.col("side") < 2))
+            pairs = possible_pairs(own.join(beside(other), (F.struct("sig") == F.col("key")) & apart), rule)
+        pairs = stored(pairs, "pairs")
         fresh = pairs
         if tested is not None:
             both = tested.unionAll(tested.select(F.col("b"), F.col("a"))).select(F.struct("a", "b").alias("key"))
             fresh = pairs.join(both, F.struct("a", "b") == F.col("key"), "left_anti")
-        first = texts.select(F.struct("id").alias("of_a"), F.col("text").alias("text_a"))
-        second = texts.select(F.struct("id").alias("of_b"), F.col("text").alias("text_b"))
-        held = fresh.join(first, F.struct(F.col("a").alias("id")) == F.col("of_a")).select("a", "b", "text_a")
-        held = held.join(second, F.struct(F.col("b").alias("id")) == F.col("of_b")).select("a", "b", "text_a", "text_b")
-        found = held.mapInArrow(_verify(rule, k), "a long, b long")
+        found = with_texts(fresh).mapInArrow(_verify(rule, k), "a long, b long")
+        if differences is not None:
+            found = found.unionAll(differences.where("linked").select("a", "b"))
         links = stored(found if links is None else links.unionAll(found), "links")
         tested = pairs if tested is None else tested.unionAll(pairs)
         labels = components(links)
+        if turn:
+            if differences is None:
+                return labels
+            facts = here.select(F.struct("id").alias("key"), "size", F.lit(1).cast("long").alias("need"), "degree").distinct()
+            finer = finer_signatures(differences).join(facts, F.struct("id") == F.col("key"))
+            ranked = stored(finer.select("sig", "id", "side", "size", "need", "degree"), "ranked")
         turn += 1
-    return labels
 
 
 def jaccard_components(

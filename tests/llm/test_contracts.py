@@ -1,5 +1,7 @@
 """Operators with an exact contract against brute force on awkward documents, and on no documents."""
 
+import random
+
 import brute
 import pytest
 
@@ -103,6 +105,83 @@ def test_linked_sets_share_the_signatures_they_need():
                 assert min(needs) >= 1 and sum(s & low == label for s in common) >= max(needs)
 
 
+def copies(seed, count, edits, length=110):
+    """Texts that differ from one of their own by some words: alike, and few of them linked."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(length)]
+    other = list(base)
+    for place in rng.sample(range(length), 6):
+        other[place] = f"other{place}"
+    texts = [" ".join(base), " ".join(other)]
+    for i in range(count):
+        words = list(base if i % 2 else other)
+        for _ in range(rng.choice(edits)):
+            place, kind = rng.randrange(len(words)), rng.randrange(4)
+            if kind < 2:
+                words[place] = f"x{rng.randrange(10**6) if kind else rng.randrange(6)}"
+            elif kind == 2:
+                del words[place]
+            else:
+                words.insert(place, f"x{rng.randrange(10**6)}")
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("few", [0, 1])
+def test_components_by_differences_from_hubs(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", few)
+    rows = [(1000 * n + i, t) for n in range(3) for i, t in copies(n, 90, [1, 2, 3, 4, 5])]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert taken(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
+
+
+def test_copies_that_are_not_linked_do_not_all_meet(spark, monkeypatch):
+    """Beyond the comparison with hubs, a copy meets a few others of 400, not 52 on the average as without differences."""
+    met, real = [], jaccard_join.possible_pairs
+
+    def counted(pairs, rule):
+        met.append(pairs.count())
+        return real(pairs, rule)
+
+    monkeypatch.setattr(jaccard_join, "possible_pairs", counted)
+    rows = copies(5, 400, [3, 4, 5])
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert taken(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
+    assert sum(met[1:]) <= 20 * len(rows)
+
+
+def test_linked_sets_share_a_difference_they_look_at():
+    """In any order of the shingles, and for sets that are linked to the hub or not."""
+    import numpy as np
+
+    rule, rng = jaccard_join.Overlap(), np.random.default_rng(2)
+    seen = set()
+    for _ in range(4000):
+        size = int(rng.integers(5, 120))
+        hub = np.arange(size)
+
+        def changed(of):
+            kept = of[rng.random(len(of)) > rng.choice([0, 0.02, 0.1])]
+            return np.union1d(kept, rng.choice(1000, int(rng.integers(0, 2 + size // 8)), replace=False) + 1000)
+
+        a = changed(hub)
+        b = changed(a)
+        linked = [rule.linked(len(np.intersect1d(x, y)), len(x) + len(y)) for x, y in ((a, b), (a, hub), (b, hub))]
+        if not linked[0] or all(linked) or not len(np.setxor1d(a, b)):
+            continue
+        order, looked = rng.permutation(2000), []
+        for own, at_hub, other_at_hub in ((a, *linked[1:]), (b, *linked[:0:-1])):
+            diff = np.setxor1d(own, hub)
+            near, far = rule.prefixes(len(diff), len(own), len(hub))
+            assert 1 <= near and (at_hub or near <= far <= len(diff))
+            diff = diff[np.argsort(order[diff])]
+            looked.append(diff[: far if other_at_hub else near])
+        assert len(np.intersect1d(*looked))
+        seen.add(sum(linked[1:]))
+    assert seen == {0, 1}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a long, b long")
     got = dict(tuple(r) for r in jaccard_join.components(links).collect())
