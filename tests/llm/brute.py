@@ -47,6 +47,29 @@ def frame(spark, rows=None):
     return spark.createDataFrame(documents() if rows is None else rows, SCHEMA).repartition(5)
 
 
+def copies(seed, count, edits, length=110):
+    """Texts that differ from one of their own by some words: alike, and few of them linked."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(length)]
+    other = list(base)
+    for place in rng.sample(range(length), 6):
+        other[place] = f"other{place}"
+    texts = [" ".join(base), " ".join(other)]
+    for i in range(count):
+        words = list(base if i % 2 else other)
+        for _ in range(rng.choice(edits)):
+            place, kind = rng.randrange(len(words)), rng.randrange(4)
+            if kind < 2:
+                words[place] = f"x{rng.randrange(10**6) if kind else rng.randrange(6)}"
+            elif kind == 2:
+                del words[place]
+            else:
+                words.insert(place, f"x{rng.randrange(10**6)}")
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
 def words_of(text: str | None) -> list[str]:
     return BLANK.findall(text or "")
 

@@ -1,7 +1,5 @@
 """Operators with an exact contract against brute force on awkward documents, and on no documents."""
 
-import random
-
 import brute
 import pytest
 
@@ -105,33 +103,10 @@ def test_linked_sets_share_the_signatures_they_need():
                 assert min(needs) >= 1 and sum(s & low == label for s in common) >= max(needs)
 
 
-def copies(seed, count, edits, length=110):
-    """Texts that differ from one of their own by some words: alike, and few of them linked."""
-    rng = random.Random(seed)
-    base = [f"w{rng.randrange(500)}" for _ in range(length)]
-    other = list(base)
-    for place in rng.sample(range(length), 6):
-        other[place] = f"other{place}"
-    texts = [" ".join(base), " ".join(other)]
-    for i in range(count):
-        words = list(base if i % 2 else other)
-        for _ in range(rng.choice(edits)):
-            place, kind = rng.randrange(len(words)), rng.randrange(4)
-            if kind < 2:
-                words[place] = f"x{rng.randrange(10**6) if kind else rng.randrange(6)}"
-            elif kind == 2:
-                del words[place]
-            else:
-                words.insert(place, f"x{rng.randrange(10**6)}")
-        texts.append(" ".join(words))
-    rng.shuffle(texts)
-    return list(enumerate(texts))
-
-
 @pytest.mark.parametrize("few", [0, 1])
 def test_components_by_differences_from_hubs(spark, monkeypatch, few):
     monkeypatch.setattr(jaccard_join, "FEW_PAIRS", few)
-    rows = [(1000 * n + i, t) for n in range(3) for i, t in copies(n, 90, [1, 2, 3, 4, 5])]
+    rows = [(1000 * n + i, t) for n in range(3) for i, t in brute.copies(n, 90, [1, 2, 3, 4, 5])]
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert taken(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
 
@@ -145,7 +120,7 @@ def test_copies_that_are_not_linked_do_not_all_meet(spark, monkeypatch):
         return real(pairs, rule)
 
     monkeypatch.setattr(jaccard_join, "possible_pairs", counted)
-    rows = copies(5, 400, [3, 4, 5])
+    rows = brute.copies(5, 400, [3, 4, 5])
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert taken(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
     assert sum(met[1:]) <= 20 * len(rows)

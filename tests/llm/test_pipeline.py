@@ -4,7 +4,7 @@ import brute
 import pytest
 
 import corpus_pipeline
-from periodica.llm import decontamination, toxicity
+from periodica.llm import decontamination, jaccard_join, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -55,3 +55,17 @@ def test_stages_keep_columns_and_bear_nulls(spark, tmp_path):
         got = stage(spark, docs, FOLDER)
         assert got.columns == docs.columns
         assert got.where("doc_id is null").count() == 1
+
+
+def test_near_copies_that_are_not_linked_do_not_all_meet(spark, monkeypatch):
+    met, real = [], jaccard_join.possible_pairs
+
+    def counted(pairs, rule):
+        met.append(pairs.count())
+        return real(pairs, rule)
+
+    monkeypatch.setattr(jaccard_join, "possible_pairs", counted)
+    rows = brute.copies(6, 400, [3, 4, 5])
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert {i for i, _ in pairs(got)} == {i for i, _, root in brute.jaccard(rows) if i == root}
+    assert sum(met[1:]) <= 20 * len(rows)
