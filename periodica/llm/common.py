@@ -43,6 +43,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles both sides, whatever sizes the planner takes them for.
+
+    The planner knows neither how many rows a Python function makes of one nor what compressed files hold, and
+    what it broadcasts passes through the driver's memory.
+    """
+    return df.hint("merge")
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, every other character unchanged; NULL becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -14,6 +14,10 @@
    (``_points``), which takes a bounded number of rows for each fingerprint however large the group is.
 5. Components of the links; a text's component is the smallest id reachable.
 
+One fingerprint becomes about a thousand points, and the planner takes them all for the size of the fingerprints'
+compressed file. So their join asks for a shuffle (``by_shuffle``): no side of it is collected by the driver to be
+broadcast.
+
 NULL and empty texts have fingerprint zero and are linked like any other; texts with fewer words than a shingle
 give one shingle, the whole sequence. Rows without an id have a fingerprint, no component and link nothing. Rows
 that repeat an id are returned each, with the component of the smallest one. Long texts are hashed piece by piece,
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodica.llm.common import slices, stored
+from periodica.llm.common import by_shuffle, slices, stored
 from periodica.llm.jaccard_join import components
 
 SHINGLE = 3
@@ -195,7 +199,7 @@ def _links_through_points(prints: DataFrame) -> DataFrame:
     around = prints.mapInArrow(_spread(points, "point", "far", 64), "point long, print long, far boolean")
     hubs = around.where("not far").groupBy("point").agg(F.min("print").alias("b"))
     hubs = hubs.select(F.struct("point").alias("at"), "b")
-    met = around.join(hubs, (F.struct("point") == F.col("at")) & (F.col("print") != F.col("b")))
+    met = around.join(by_shuffle(hubs), (F.struct("point") == F.col("at")) & (F.col("print") != F.col("b")))
     return met.select(F.col("print").alias("a"), "b").distinct()
 
 

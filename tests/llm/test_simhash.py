@@ -9,6 +9,7 @@ import pytest
 import xxhash
 
 from periodica.llm import simhash_golay as sg
+from periodica.llm.common import stored
 
 
 def plain_print(text):
@@ -130,6 +131,21 @@ def test_documents(spark, few):
     assert sorted(tuple(r) for r in got) == sorted((i, f"{p:016x}", want[i]) for i, p in prints)
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_are_not_broadcast(spark):
+    """A few stored fingerprints stand for a thousand points each; so does what the join of the points collects."""
+    rng = random.Random(6)
+    prints = {0b111, *(1 << i for i in range(40)), *(rng.getrandbits(63) for _ in range(40))}
+    few = stored(spark.createDataFrame([(p,) for p in prints], "print long"), "few-prints")
+    links = sg._links_through_points(few)
+    linked = {frozenset(link) for link in links.collect()}
+    assert linked and all((a ^ b).bit_count() <= 3 for a, b in linked)
+    assert "SortMergeJoin" in plan(links) and "Broadcast" not in plan(links)
+
+
 def test_pieces_of_long_texts(monkeypatch):
     text = " ".join(f"w{i * i % 97}" for i in range(500))
     monkeypatch.setattr(sg, "PIECE", 7)
