@@ -49,7 +49,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodica.llm.common import WordHashes, bucket_of, mix, slices, stored, word_hashes
+from periodica.llm.common import WordHashes, bucket_of, by_shuffle, mix, slices, stored, word_hashes
 
 SHINGLE = 3
 BAND = 1.5
@@ -67,6 +67,8 @@ BAND_LIMIT = 1 << 33
 SETS = "id long, size long, one long, two long, sig array<long>, need array<long>"
 # Ids up to this number (8 bytes each) go to every task; more are joined by a shuffle.
 SMALL_IDS = 1_000_000
+# Links, both ways, whose ids (some 110 bytes each in a broadcast) may go to every task.
+FEW_WAYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -268,15 +270,22 @@ def _differ(rule: Overlap, k: int):
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, component) for the ids in ``links`` (a, b): the least id reachable."""
+def components(links: DataFrame, few: int = FEW_WAYS) -> DataFrame:
+    """(id, component) for the ids in ``links`` (a, b): the least id reachable.
+
+    Files of ids take up to twenty times less than the ids in the driver's memory, so the number of links tells
+    whether joins may broadcast: up to ``few`` of them, each counted both ways, the planner may.
+    """
     ways = stored(links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).distinct(), "ways")
     least = ways.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("component"))
     labels = stored(least, "labels")
+    many = ways.count() > few
     while True:
         named = labels.select(F.struct("id").alias("key"), "component")
+        named = by_shuffle(named) if many else named
         near = ways.join(named, F.struct(F.col("b").alias("id")) == F.col("key"))
         near = near.groupBy("a").agg(F.min("component").alias("near"))
+        near = by_shuffle(near) if many else near
         lowered = labels.join(near, F.col("id") == F.col("a")).select(
             "id", F.col("component").alias("was"), F.least("component", "near").alias("now")
         )

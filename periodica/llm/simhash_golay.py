@@ -14,9 +14,9 @@
    (``_points``), which takes a bounded number of rows for each fingerprint however large the group is.
 5. Components of the links; a text's component is the smallest id reachable.
 
-One fingerprint becomes about a thousand points, and the planner takes them all for the size of the fingerprints'
-compressed file. So their join asks for a shuffle (``by_shuffle``): no side of it is collected by the driver to be
-broadcast.
+One fingerprint becomes some fifty keys or a thousand points, and the planner takes them all for the size of the
+fingerprints' compressed files. So these joins ask for a shuffle (``by_shuffle``): no side of them is collected
+by the driver to be broadcast.
 
 NULL and empty texts have fingerprint zero and are linked like any other; texts with fewer words than a shingle
 give one shingle, the whole sequence. Rows without an id have a fingerprint, no component and link nothing. Rows
@@ -191,7 +191,7 @@ def _links_between(live: DataFrame) -> DataFrame:
     left = live.where("nearest").select(F.struct("key").alias("own"), F.col("print").alias("a"))
     right = live.select(F.struct("key").alias("theirs"), F.col("print").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return left.join(right, (F.col("own") == F.col("theirs")) & (apart > 0) & (apart <= ERRORS)).select("a", "b")
+    return left.join(by_shuffle(right), (F.col("own") == F.col("theirs")) & (apart > 0) & (apart <= ERRORS)).select("a", "b")
 
 
 def _links_through_points(prints: DataFrame) -> DataFrame:
@@ -203,12 +203,17 @@ def _links_through_points(prints: DataFrame) -> DataFrame:
     return met.select(F.col("print").alias("a"), "b").distinct()
 
 
-def link_prints(prints: DataFrame, few: int = FEW) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column ``print``) whose components are those of all links."""
+def _shared_keys(prints: DataFrame) -> DataFrame:
+    """(key, print, nearest, n) for the keys under which fingerprints may meet; n of them have the key."""
     keyed = prints.select("print").mapInArrow(_spread(keys, "key", "nearest", 8192), "key long, print long, nearest boolean")
     held = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max("nearest").alias("any"))
     held = held.where(F.col("any") & (F.col("n") > 1)).select(F.struct("key").alias("of"), "n")
-    live = stored(keyed.join(held, F.struct("key") == F.col("of")).select("key", "print", "nearest", "n"), "golay-keys")
+    return keyed.join(by_shuffle(held), F.struct("key") == F.col("of")).select("key", "print", "nearest", "n")
+
+
+def link_prints(prints: DataFrame, few: int = FEW) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column ``print``) whose components are those of all links."""
+    live = stored(_shared_keys(prints), "golay-keys")
     crowded = stored(live.where(F.col("n") > few).select("print").distinct(), "golay-crowds")
     return _links_between(live.where(F.col("n") <= few)).unionAll(_links_through_points(crowded))
 
@@ -222,7 +227,7 @@ def simhash_components(
     alike = rows.where("id is not null").groupBy("print").agg(F.min("id").alias("least"))
     alike = stored(alike, "distinct-prints")
     labels = components(stored(link_prints(alike, few), "print-links"))
-    linked = alike.join(labels, F.col("print") == F.col("id")).select("print", "least", "component")
+    linked = alike.join(by_shuffle(labels), F.col("print") == F.col("id")).select("print", "least", "component")
     lowest = linked.groupBy("component").agg(F.min("least").alias("lowest")).select(F.struct("component").alias("of"), "lowest")
     linked = linked.join(lowest, F.struct("component") == F.col("of")).select(F.col("print").alias("linked"), "lowest")
     named = alike.join(linked, F.col("print") == F.col("linked"), "left")

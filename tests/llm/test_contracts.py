@@ -2,8 +2,10 @@
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from periodica.llm import exact_dedup, jaccard_join, license_scan, packing, pii_scan, secret_scan, substring_dedup
+from periodica.llm.common import stored
 
 
 @pytest.fixture(scope="module")
@@ -163,6 +165,23 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 90: 90, 95: 90, 100: 90}
 
 
+def test_components_of_many_links_are_not_broadcast(spark, monkeypatch):
+    """Files of regular ids are far smaller than the ids, and under the broadcast limit here."""
+    plans = []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(jaccard_join, "stored", noted)
+    ids = spark.range(60_000).where("id % 100 > 0")
+    links = ids.select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
+    got = jaccard_join.components(links)
+    assert got.count() == 60_000 and not got.where("component <> id - id % 100").count()
+    joins = [p for p in plans if "Join" in p]
+    assert joins and not any("Broadcast" in p for p in joins)
+
+
 AWKWARD = [
     None,
     "",

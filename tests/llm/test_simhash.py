@@ -146,6 +146,20 @@ def test_points_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan(links) and "Broadcast" not in plan(links)
 
 
+def test_keys_and_links_are_not_broadcast(spark, monkeypatch):
+    """Neither the keys that Python makes of stored fingerprints nor stored tables are collected for a join."""
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = plan(df)
+        return stored(df, label)
+
+    monkeypatch.setattr(sg, "stored", noted)
+    sg.simhash_components(brute.frame(spark), few=64)
+    for label in ("golay-keys", "print-links"):
+        assert "SortMergeJoin" in plans[label] and "Broadcast" not in plans[label]
+
+
 def test_pieces_of_long_texts(monkeypatch):
     text = " ".join(f"w{i * i % 97}" for i in range(500))
     monkeypatch.setattr(sg, "PIECE", 7)
